@@ -1,0 +1,212 @@
+"""Independent SQL for every query, for a second engine over the same tables."""
+
+from __future__ import annotations
+
+from pavilion.sources import testbed
+
+
+def _select(mapping: dict[str, str]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in mapping.items())
+
+
+# Named parts, each using only earlier ones. A statement gets the ones it needs.
+PARTS = {
+    "raw_matches": f"""
+        SELECT m.* FROM (
+            SELECT {_select(testbed.MATCHES)}
+            FROM orders
+            LEFT JOIN customer ON o_custkey = c_custkey
+            LEFT JOIN nation ON c_nationkey = n_nationkey) m
+        CROSS JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
+        WHERE c.copy = 1 OR m.id LIKE '%7'""",
+    "raw_deliveries": f"""
+        SELECT d.* FROM (SELECT {_select(testbed.DELIVERIES)} FROM lineitem) d
+        CROSS JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
+        WHERE c.copy = 1 OR d.match_id LIKE '%7'""",
+    "clean_matches": """
+        SELECT DISTINCT TRY_CAST(id AS BIGINT) AS id, season, city, venue, date, team1, team2,
+               toss_winner, toss_decision, winner,
+               TRY_CAST(win_by_runs AS INTEGER) AS win_by_runs,
+               TRY_CAST(win_by_wickets AS INTEGER) AS win_by_wickets, player_of_match
+        FROM raw_matches WHERE TRY_CAST(id AS BIGINT) IS NOT NULL""",
+    "clean_deliveries": """
+        SELECT DISTINCT TRY_CAST(match_id AS BIGINT) AS match_id,
+               TRY_CAST(inning AS INTEGER) AS inning, batting_team, bowling_team,
+               TRY_CAST("over" AS INTEGER) AS "over", TRY_CAST(ball AS INTEGER) AS ball,
+               batsman, non_striker, bowler,
+               TRY_CAST(batsman_runs AS INTEGER) AS batsman_runs,
+               TRY_CAST(extra_runs AS INTEGER) AS extra_runs,
+               TRY_CAST(total_runs AS INTEGER) AS total_runs,
+               player_dismissed, dismissal_kind
+        FROM raw_deliveries
+        WHERE TRY_CAST(match_id AS BIGINT) IS NOT NULL
+          AND batsman IS NOT NULL AND bowler IS NOT NULL""",
+    "dim_matches": """
+        SELECT match_id, season_year, city, venue, match_date, team1, team2, toss_winner,
+               toss_decision, match_winner, win_by_runs, win_by_wickets, player_of_match
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY match_id
+                ORDER BY season_year NULLS FIRST, city NULLS FIRST, venue NULLS FIRST,
+                         match_date NULLS FIRST, team1 NULLS FIRST, team2 NULLS FIRST,
+                         toss_winner NULLS FIRST, toss_decision NULLS FIRST,
+                         match_winner NULLS FIRST, win_by_runs NULLS FIRST,
+                         win_by_wickets NULLS FIRST, player_of_match NULLS FIRST) AS place
+            FROM (
+                SELECT id AS match_id, season AS season_year, city, venue,
+                       TRY_CAST(date AS DATE) AS match_date, team1, team2, toss_winner,
+                       toss_decision, winner AS match_winner, win_by_runs, win_by_wickets,
+                       player_of_match
+                FROM clean_matches))
+        WHERE place = 1""",
+    "dim_teams": """
+        SELECT row_number() OVER (ORDER BY team_name) AS team_id, team_name
+        FROM (SELECT team1 AS team_name FROM clean_matches
+              UNION SELECT team2 FROM clean_matches)
+        WHERE team_name IS NOT NULL""",
+    "dim_players": """
+        SELECT row_number() OVER (ORDER BY player_name) AS player_id, player_name
+        FROM (SELECT batsman AS player_name FROM clean_deliveries
+              UNION SELECT bowler FROM clean_deliveries)""",
+    "dim_seasons": """
+        SELECT row_number() OVER (ORDER BY season_year) AS season_id, season_year
+        FROM (SELECT DISTINCT season AS season_year FROM clean_matches)
+        WHERE season_year IS NOT NULL""",
+    "fact_deliveries": """
+        SELECT d.match_id, m.season_year AS season, inning, batting_team, bowling_team,
+               "over", ball, batsman, non_striker, bowler,
+               batsman_runs, extra_runs, total_runs,
+               CASE WHEN batsman_runs IN (4, 6) THEN 1 ELSE 0 END AS is_boundary,
+               CASE WHEN batsman_runs = 4 THEN 1 ELSE 0 END AS is_four,
+               CASE WHEN batsman_runs = 6 THEN 1 ELSE 0 END AS is_six,
+               CASE WHEN total_runs = 0 THEN 1 ELSE 0 END AS is_dot_ball,
+               CASE WHEN player_dismissed IS NOT NULL THEN 1 ELSE 0 END AS is_wicket,
+               player_dismissed, dismissal_kind
+        FROM clean_deliveries d LEFT JOIN dim_matches m ON d.match_id = m.match_id""",
+    "batting_stats": """
+        SELECT batsman, season, total_runs, balls_faced, boundaries, fours, sixes, matches_played,
+               round(total_runs * 10000 / nullif(balls_faced, 0)) / 100 AS strike_rate,
+               round(total_runs * 100 / nullif(matches_played, 0)) / 100 AS batting_average
+        FROM (
+            SELECT batsman, season, CAST(sum(batsman_runs) AS BIGINT) AS total_runs,
+                   count(ball) AS balls_faced,
+                   CAST(sum(is_boundary) AS BIGINT) AS boundaries,
+                   CAST(sum(is_four) AS BIGINT) AS fours, CAST(sum(is_six) AS BIGINT) AS sixes,
+                   count(DISTINCT match_id) AS matches_played
+            FROM fact_deliveries GROUP BY batsman, season)""",
+    "bowling_stats": """
+        SELECT bowler, season, wickets, runs_conceded, balls_bowled, dot_balls, matches_played,
+               round(balls_bowled * 10 / 6) / 10 AS overs_bowled,
+               round(runs_conceded * 600 / nullif(balls_bowled, 0)) / 100 AS economy_rate,
+               round(runs_conceded * 100 / nullif(wickets, 0)) / 100 AS bowling_average,
+               round(dot_balls * 10000 / nullif(balls_bowled, 0)) / 100 AS dot_ball_pct
+        FROM (
+            SELECT bowler, season, CAST(sum(is_wicket) AS BIGINT) AS wickets,
+                   CAST(sum(total_runs) AS BIGINT) AS runs_conceded,
+                   count(ball) AS balls_bowled, CAST(sum(is_dot_ball) AS BIGINT) AS dot_balls,
+                   count(DISTINCT match_id) AS matches_played
+            FROM fact_deliveries GROUP BY bowler, season)""",
+}
+
+REPORTS = {
+    "top_run_scorers": """
+        SELECT batsman, CAST(sum(batsman_runs) AS BIGINT) AS total_runs,
+               count(DISTINCT match_id) AS matches,
+               round(sum(batsman_runs) * 10000 / nullif(count(ball), 0)) / 100 AS strike_rate,
+               CAST(sum(is_six) AS BIGINT) AS sixes, CAST(sum(is_four) AS BIGINT) AS fours
+        FROM fact_deliveries GROUP BY batsman ORDER BY total_runs DESC, batsman LIMIT 10""",
+    "top_wicket_takers": """
+        SELECT bowler, CAST(sum(is_wicket) AS BIGINT) AS wickets,
+               CAST(sum(total_runs) AS BIGINT) AS runs_conceded,
+               round(sum(total_runs) * 600 / nullif(count(ball), 0)) / 100 AS economy_rate,
+               round(sum(total_runs) * 100 / nullif(sum(is_wicket), 0)) / 100 AS bowling_average,
+               round(sum(is_dot_ball) * 10000 / nullif(count(ball), 0)) / 100 AS dot_ball_pct
+        FROM fact_deliveries GROUP BY bowler ORDER BY wickets DESC, bowler LIMIT 10""",
+    "season_totals": """
+        SELECT season, CAST(sum(total_runs) AS BIGINT) AS total_runs,
+               count(DISTINCT match_id) AS total_matches,
+               round(sum(total_runs) * 100 / count(DISTINCT match_id)) / 100 AS avg_runs_per_match
+        FROM fact_deliveries GROUP BY season ORDER BY season NULLS FIRST""",
+    "team_wins": """
+        SELECT match_winner AS team, count(*) AS wins FROM dim_matches
+        WHERE match_winner IS NOT NULL GROUP BY match_winner ORDER BY wins DESC, team""",
+    "toss_impact": """
+        SELECT toss_decision, count(*) AS total_matches,
+               count(*) FILTER (WHERE toss_winner = match_winner) AS toss_wins_match,
+               round(count(*) FILTER (WHERE toss_winner = match_winner) * 10000 / count(*)) / 100
+                   AS win_pct_after_toss
+        FROM dim_matches WHERE toss_winner IS NOT NULL AND match_winner IS NOT NULL
+        GROUP BY toss_decision""",
+    "top_venues": """
+        SELECT venue, city, count(*) AS matches_hosted FROM dim_matches GROUP BY venue, city
+        ORDER BY matches_hosted DESC, venue NULLS FIRST, city NULLS FIRST LIMIT 10""",
+    "best_strike_rates": """
+        SELECT batsman, CAST(sum(batsman_runs) AS BIGINT) AS runs, count(ball) AS balls_faced,
+               round(sum(batsman_runs) * 10000 / count(ball)) / 100 AS strike_rate
+        FROM fact_deliveries GROUP BY batsman HAVING count(ball) >= 590
+        ORDER BY strike_rate DESC, batsman LIMIT 10""",
+    "most_sixes_in_season": """
+        SELECT batsman, season, CAST(sum(is_six) AS BIGINT) AS sixes
+        FROM fact_deliveries GROUP BY batsman, season
+        ORDER BY sixes DESC, batsman, season NULLS FIRST LIMIT 10""",
+    "powerplay_economy": """
+        SELECT bowler, count(DISTINCT match_id) AS matches,
+               round(sum(total_runs) * 600 / count(ball)) / 100 AS powerplay_economy
+        FROM fact_deliveries WHERE "over" BETWEEN 1 AND 2
+        GROUP BY bowler HAVING count(ball) >= 165
+        ORDER BY powerplay_economy NULLS FIRST, bowler LIMIT 10""",
+    "player_of_match": """
+        SELECT player_of_match, count(*) AS awards FROM dim_matches
+        WHERE player_of_match IS NOT NULL GROUP BY player_of_match
+        ORDER BY awards DESC, player_of_match LIMIT 10""",
+    "milestones": """
+        SELECT batsman, count(*) FILTER (WHERE runs >= 12) AS centuries,
+               count(*) FILTER (WHERE runs BETWEEN 6 AND 11) AS half_centuries
+        FROM (SELECT batsman, match_id, inning, sum(batsman_runs) AS runs
+              FROM fact_deliveries GROUP BY batsman, match_id, inning)
+        GROUP BY batsman""",
+    "win_loss": """
+        SELECT team, count(*) AS played,
+               count(*) FILTER (WHERE match_winner = team) AS won,
+               count(*) FILTER (WHERE match_winner <> team) AS lost,
+               count(*) FILTER (WHERE match_winner IS NULL) AS no_result
+        FROM (SELECT team1 AS team, match_winner FROM dim_matches
+              UNION ALL SELECT team2, match_winner FROM dim_matches)
+        WHERE team IS NOT NULL GROUP BY team""",
+    "season_top_batters": """
+        SELECT season, CAST(place AS INTEGER) AS rank, batsman, total_runs
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY season ORDER BY total_runs DESC, batsman) AS place
+              FROM batting_stats) WHERE place <= 10""",
+    "season_top_bowlers": """
+        SELECT season, CAST(place AS INTEGER) AS rank, bowler, wickets
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY season ORDER BY wickets DESC, bowler) AS place
+              FROM bowling_stats) WHERE place <= 10""",
+    "venue_scoring": """
+        SELECT venue, city, count(DISTINCT match_id) AS matches,
+               CAST(sum(total_runs) AS BIGINT) AS total_runs,
+               CAST(sum(is_wicket) AS BIGINT) AS wickets,
+               round(sum(total_runs) * 100 / count(DISTINCT match_id)) / 100 AS avg_runs_per_match
+        FROM fact_deliveries JOIN dim_matches USING (match_id) GROUP BY venue, city""",
+    "runs_per_dismissal": """
+        SELECT batsman, total_runs, coalesce(dismissals, 0) AS dismissals,
+               round(total_runs * 100 / nullif(coalesce(dismissals, 0), 0)) / 100
+                   AS runs_per_dismissal
+        FROM (SELECT batsman, CAST(sum(batsman_runs) AS BIGINT) AS total_runs
+              FROM fact_deliveries GROUP BY batsman)
+        LEFT JOIN (SELECT player_dismissed, count(*) AS dismissals FROM fact_deliveries
+                   WHERE player_dismissed IS NOT NULL GROUP BY player_dismissed)
+        ON batsman = player_dismissed""",
+}
+
+
+def _with_parts(sql: str) -> str:
+    """``sql`` preceded by all named parts; the engine skips the unused ones."""
+    parts = ", ".join(f"{name} AS ({body})" for name, body in PARTS.items())
+    return f"WITH {parts} {sql}"
+
+
+def statements() -> dict[str, str]:
+    tables = {name: _with_parts(f"SELECT * FROM {name}") for name in PARTS}
+    return tables | {name: _with_parts(sql) for name, sql in REPORTS.items()}

@@ -1,0 +1,80 @@
+"""The test tables seen as raw match and delivery files.
+
+One match per order, one delivery per line item, every column as text. Rows
+whose key ends in 7 come twice, so that deduplication has work to do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# The mapping, as SQL that Spark and the oracle both accept.
+_HOME = "concat('T', cast(o_custkey % 10 as string))"
+_AWAY = "concat('T', cast((o_custkey + 1 + o_orderkey % 9) % 10 as string))"
+_OUT = "l_returnflag = 'R' and l_quantity <= 10"
+_RUNS = "cast(l_quantity as int) % 7"
+_EXTRA = "case when l_discount >= 0.09 then 1 else 0 end"
+
+MATCHES = {
+    "id": "cast(o_orderkey as string)",
+    "season": "cast(year(o_orderdate) as string)",
+    "city": "n_name",
+    "venue": "c_mktsegment",
+    "date": "cast(cast(o_orderdate as date) as string)",
+    "team1": _HOME,
+    "team2": _AWAY,
+    "toss_winner": f"case when o_orderpriority in ('1-URGENT', '2-HIGH') then {_HOME} else {_AWAY} end",
+    "toss_decision": "case when o_orderkey % 3 = 0 then 'bat' else 'field' end",
+    "winner": f"case when o_orderstatus = 'F' then {_HOME} when o_orderstatus = 'O' then {_AWAY} end",
+    "win_by_runs": "case when o_orderstatus = 'F' then cast(o_custkey % 50 as string) else '0' end",
+    "win_by_wickets": "case when o_orderstatus = 'O' then cast(o_custkey % 10 as string) else '0' end",
+    "player_of_match": "case when o_orderstatus <> 'P' then concat('S', cast(o_orderkey % 37 as string)) end",
+}
+
+DELIVERIES = {
+    "match_id": "cast(l_orderkey as string)",
+    "inning": "case when l_linenumber <= 4 then '1' else '2' end",
+    "batting_team": "concat('T', cast(l_suppkey % 10 as string))",
+    "bowling_team": "concat('T', cast((l_suppkey + 1 + l_partkey % 9) % 10 as string))",
+    "over": "cast(l_linenumber as string)",
+    "ball": "cast(l_partkey % 6 + 1 as string)",
+    "batsman": "concat('S', cast(l_suppkey as string))",
+    "non_striker": "concat('S', cast((l_suppkey + 1) % 10 as string))",
+    "bowler": "case when l_partkey % 97 <> 0 then concat('S', cast(l_partkey % 100 as string)) end",
+    "batsman_runs": f"cast({_RUNS} as string)",
+    "extra_runs": f"cast({_EXTRA} as string)",
+    "total_runs": f"cast({_RUNS} + {_EXTRA} as string)",
+    "player_dismissed": f"case when {_OUT} then concat('S', cast(l_suppkey as string)) end",
+    "dismissal_kind": (
+        f"case when {_OUT} then case when l_tax < 0.03 then 'bowled' "
+        "when l_tax < 0.06 then 'caught' else 'run out' end end"
+    ),
+}
+
+
+def _mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    return df.select(*[F.expr(sql).alias(name) for name, sql in mapping.items()])
+
+
+def _with_repeats(df: DataFrame, key: str) -> DataFrame:
+    """``df`` and once more its rows whose ``key`` ends in 7, in one scan."""
+    copies = F.when(F.col(key).endswith("7"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return df.select("*", F.explode(copies).alias("copy")).drop("copy")
+
+
+def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
+    def table(name: str) -> DataFrame:
+        return spark.read.parquet(f"{folder}/{name}.parquet")
+
+    played = (
+        table("orders")
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    )
+    return _with_repeats(_mapped(played, MATCHES), "id")
+
+
+def raw_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+    balls = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return _with_repeats(_mapped(balls, DELIVERIES), "match_id")

@@ -1,0 +1,73 @@
+"""Every operator and report as a query over the test tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from pavilion.operators import cleansing
+from pavilion.plans import dimensions, facts, reports, stats
+from pavilion.sources import testbed
+
+
+class Tables:
+    """Lazy plans of the tables over one folder of test tables."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.raw_matches = testbed.raw_matches(spark, folder)
+        self.raw_deliveries = testbed.raw_deliveries(spark, folder)
+        self.typed_matches = cleansing.typed_matches(self.raw_matches)
+        self.typed_deliveries = cleansing.typed_deliveries(self.raw_deliveries)
+        self.clean_deliveries = cleansing.clean_deliveries(self.raw_deliveries)
+        self.matches = dimensions.matches(self.typed_matches)
+        self.seasons = dimensions.match_seasons(self.typed_matches)
+        # The fact without its season, for whatever can do without the join or
+        # can join after summing.
+        self.balls = facts.flagged(self.clean_deliveries)
+        self.fact = facts.deliveries(self.clean_deliveries, self.seasons)
+
+
+# Cut-offs that split the groups of the test tables; the standard ones suit real
+# innings, these suit seven balls per match.
+MIN_BALLS_FACED = 590
+MIN_BALLS_BOWLED = 165
+POWERPLAY = (1, 2)
+HALF_CENTURY, CENTURY = 6, 12
+
+_PLANS: dict[str, Callable[[Tables], DataFrame]] = {
+    "raw_matches": lambda t: t.raw_matches,
+    "raw_deliveries": lambda t: t.raw_deliveries,
+    "clean_matches": lambda t: cleansing.clean_matches(t.raw_matches),
+    "clean_deliveries": lambda t: t.clean_deliveries,
+    "dim_matches": lambda t: t.matches,
+    "dim_teams": lambda t: dimensions.teams(t.typed_matches),
+    "dim_players": lambda t: dimensions.players(t.typed_deliveries),
+    "dim_seasons": lambda t: dimensions.seasons(t.typed_matches),
+    "fact_deliveries": lambda t: t.fact,
+    "batting_stats": lambda t: stats.batting(t.balls, t.seasons),
+    "bowling_stats": lambda t: stats.bowling(t.balls, t.seasons),
+    "top_run_scorers": lambda t: reports.top_run_scorers(t.balls),
+    "top_wicket_takers": lambda t: reports.top_wicket_takers(t.balls),
+    "season_totals": lambda t: reports.season_totals(t.balls, t.seasons),
+    "team_wins": lambda t: reports.team_wins(t.matches),
+    "toss_impact": lambda t: reports.toss_impact(t.matches),
+    "top_venues": lambda t: reports.top_venues(t.matches),
+    "best_strike_rates": lambda t: reports.best_strike_rates(t.balls, MIN_BALLS_FACED),
+    "most_sixes_in_season": lambda t: reports.most_sixes_in_season(t.balls, t.seasons),
+    "powerplay_economy": lambda t: reports.powerplay_economy(t.balls, POWERPLAY, MIN_BALLS_BOWLED),
+    "player_of_match": lambda t: reports.player_of_match(t.matches),
+    "milestones": lambda t: reports.milestones(t.balls, HALF_CENTURY, CENTURY),
+    "win_loss": lambda t: reports.win_loss(t.matches),
+    "season_top_batters": lambda t: reports.season_top_batters(stats.batting(t.balls, t.seasons)),
+    "season_top_bowlers": lambda t: reports.season_top_bowlers(stats.bowling(t.balls, t.seasons)),
+    "venue_scoring": lambda t: reports.venue_scoring(t.balls, t.matches),
+    "runs_per_dismissal": lambda t: reports.runs_per_dismissal(t.balls),
+}
+
+
+def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: plan(Tables(spark, folder))
+
+
+QUERIES = {name: _query(plan) for name, plan in _PLANS.items()}
