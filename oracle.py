@@ -201,6 +201,24 @@ REPORTS = {
 }
 
 
+_COUNT = "SELECT '{0}' AS table_name, count(*) AS row_count FROM {0}"
+_TABLES = [name for name in PARTS if not name.startswith(("raw_", "clean_"))]
+
+CHECKS = {
+    "table_counts": " UNION ALL ".join(_COUNT.format(name) for name in _TABLES),
+    "created_tables": " UNION ALL ".join(
+        [_COUNT.format("dim_matches"), _COUNT.format("fact_deliveries"),
+         "SELECT 'dim_seasons' AS table_name, 0 AS row_count"]
+    ),
+    "dim_matches_sql": "SELECT * FROM dim_matches",
+    "fact_deliveries_sql": "SELECT * FROM fact_deliveries",
+    "csv_round_trip": "SELECT * FROM raw_deliveries",
+    "table_round_trip": "SELECT * FROM dim_matches",
+    "fact_by_season": "SELECT * FROM fact_deliveries",
+    "whole_flow": "SELECT * FROM batting_stats",
+}
+
+
 def _with_parts(sql: str) -> str:
     """``sql`` preceded by all named parts; the engine skips the unused ones."""
     parts = ", ".join(f"{name} AS ({body})" for name, body in PARTS.items())
@@ -209,4 +227,4 @@ def _with_parts(sql: str) -> str:
 
 def statements() -> dict[str, str]:
     tables = {name: _with_parts(f"SELECT * FROM {name}") for name in PARTS}
-    return tables | {name: _with_parts(sql) for name, sql in REPORTS.items()}
+    return tables | {name: _with_parts(sql) for name, sql in (REPORTS | CHECKS).items()}

@@ -10,16 +10,17 @@ from pavilion.functions.flags import delivery_flags
 from pavilion.operators.lookup import SALTS, lookup
 
 FACT = schemas.columns("fact_deliveries")
-UNSEASONED = [c for c in FACT if c != "season"]
 
 
-def flagged(clean: DataFrame) -> DataFrame:
-    """Cleansed deliveries with their flags: the fact without its season.
+def flagged(rows: DataFrame) -> DataFrame:
+    """Cleansed deliveries with their flags, as far as the rows have the columns.
 
-    Enough for every report that does not mention the season, and it saves them
-    the join.
+    Without a season this is the fact less that column: enough for every report
+    that does not mention the season, and it saves them the join.
     """
-    return clean.withColumns(delivery_flags()).select(*UNSEASONED)
+    flags = delivery_flags()
+    present = set(rows.columns) | set(flags)
+    return rows.withColumns(flags).select(*[c for c in FACT if c in present])
 
 
 def with_season(rows: DataFrame, matches: DataFrame, salts: int = SALTS) -> DataFrame:
@@ -32,5 +33,14 @@ def with_season(rows: DataFrame, matches: DataFrame, salts: int = SALTS) -> Data
 
 
 def deliveries(clean: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row per cleansed delivery. A season column of the raw file is ignored."""
-    return with_season(flagged(clean), matches).select(*FACT)
+    """One row per cleansed delivery.
+
+    The season is always the one of the match: a season column of the raw file
+    is left out. Flags are added after the join, which then moves fewer columns.
+    """
+    return flagged(with_season(unseasoned(clean), matches))
+
+
+def unseasoned(clean: DataFrame) -> DataFrame:
+    """The delivery columns the fact is made of."""
+    return clean.select(*schemas.RAW_DELIVERIES)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pavilion import schemas
 from pavilion.functions import rates
+from pavilion.operators.lookup import SALTS
 from pavilion.plans.facts import with_season
 
 
@@ -31,9 +32,10 @@ def per_season(
     by_match = rows.groupBy(*keys, "match_id").agg(
         *[total.alias(name) for name, total in totals.items()]
     )
+    # Without further keys there is one row per match, which needs no salting.
+    seasoned = with_season(by_match, matches, SALTS if keys else 1)
     return (
-        with_season(by_match, matches)
-        .groupBy(*keys, "season")
+        seasoned.groupBy(*keys, "season")
         .agg(*[F.sum(name).alias(name) for name in totals], F.count("match_id").alias(matches_as))
     )
 

@@ -53,28 +53,30 @@ DELIVERIES = {
 }
 
 
-def _mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
-    return df.select(*[F.expr(sql).alias(name) for name, sql in mapping.items()])
-
-
 def _with_repeats(df: DataFrame, key: str) -> DataFrame:
     """``df`` and once more its rows whose ``key`` ends in 7, in one scan."""
-    copies = F.when(F.col(key).endswith("7"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return df.select("*", F.explode(copies).alias("copy")).drop("copy")
+    once, twice = F.array(F.lit(0)), F.array(F.lit(0), F.lit(1))
+    copies = F.when(F.col(key).cast("string").endswith("7"), twice).otherwise(once)
+    return df.withColumn("copy", F.explode(copies)).drop("copy")
+
+
+def _mapped(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
+    return df.select(*[F.expr(sql).alias(name) for name, sql in mapping.items()])
 
 
 def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}.parquet")
 
-    played = (
-        table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    places = table("customer").join(
+        table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    )
+    played = _with_repeats(table("orders"), "o_orderkey").join(
+        places, F.col("o_custkey") == F.col("c_custkey"), "left"
     )
-    return _with_repeats(_mapped(played, MATCHES), "id")
+    return _mapped(played, MATCHES)
 
 
 def raw_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     balls = spark.read.parquet(f"{folder}/lineitem.parquet")
-    return _with_repeats(_mapped(balls, DELIVERIES), "match_id")
+    return _mapped(_with_repeats(balls, "l_orderkey"), DELIVERIES)

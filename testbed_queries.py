@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pavilion import checks, flow, schemas
 from pavilion.operators import cleansing
-from pavilion.plans import dimensions, facts, reports, stats
-from pavilion.sources import testbed
+from pavilion.operators.lookup import lookup
+from pavilion.plans import dimensions, facts, reports, sql_tables, stats
+from pavilion.session import scratch
+from pavilion.sinks import tables
+from pavilion.sinks.layout import BY_SEASON
+from pavilion.sources import files, testbed
 
 
 class Tables:
@@ -24,8 +30,17 @@ class Tables:
         self.seasons = dimensions.match_seasons(self.typed_matches)
         # The fact without its season, for whatever can do without the join or
         # can join after summing.
-        self.balls = facts.flagged(self.clean_deliveries)
+        self.balls = facts.flagged(facts.unseasoned(self.clean_deliveries))
         self.fact = facts.deliveries(self.clean_deliveries, self.seasons)
+        # What the SQL tables are created from: raw text without repeats, and
+        # the deliveries with the season of their match.
+        self.matches_as_text = self.raw_matches.dropna(subset=list(schemas.MATCH_KEYS)).distinct()
+        season_as_text = self.matches_as_text.selectExpr("id AS match_id", "season")
+        self.deliveries_as_text = lookup(
+            self.raw_deliveries.dropna(subset=list(schemas.DELIVERY_KEYS)).distinct(),
+            cleansing.smallest_per_key(season_as_text, "match_id"),
+            "match_id",
+        )
 
 
 # Cut-offs that split the groups of the test tables; the standard ones suit real
@@ -63,11 +78,97 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
     "season_top_bowlers": lambda t: reports.season_top_bowlers(stats.bowling(t.balls, t.seasons)),
     "venue_scoring": lambda t: reports.venue_scoring(t.balls, t.matches),
     "runs_per_dismissal": lambda t: reports.runs_per_dismissal(t.balls),
+    "dim_matches_sql": lambda t: sql_tables.matches(t.matches_as_text),
+    "fact_deliveries_sql": lambda t: sql_tables.deliveries(t.deliveries_as_text),
+    "table_counts": lambda t: checks.counts(
+        {
+            "dim_matches": t.matches,
+            "dim_teams": dimensions.teams(t.typed_matches),
+            "dim_players": dimensions.players(t.typed_deliveries),
+            "dim_seasons": dimensions.seasons(t.typed_matches),
+            "fact_deliveries": t.fact,
+            "batting_stats": stats.batting(t.balls, t.seasons),
+            "bowling_stats": stats.bowling(t.balls, t.seasons),
+        }
+    ),
 }
 
 
+# ---- through files and the catalogue, in the shared scratch folder -----------
+
+
+def _places(spark: SparkSession, folder: str, name: str) -> flow.Places:
+    """Places of one query over one folder of test tables; a rerun replaces them."""
+    label = f"{name}_{zlib.crc32(folder.encode()):08x}"
+    root = scratch(spark, label)
+    return flow.Places(f"{root}/source", f"{root}/raw", f"{root}/processed", label)
+
+
+def _as_source_files(t: Tables, places: flow.Places) -> None:
+    for raw, name in ((t.raw_matches, "matches"), (t.raw_deliveries, "deliveries")):
+        raw.write.mode("overwrite").option("header", True).csv(f"{places.source}/{flow.RAW[name][0]}")
+
+
+def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw deliveries written as CSV, read back as text and landed."""
+    places = _places(spark, folder, "csv_round_trip")
+    _as_source_files(Tables(spark, folder), places)
+    flow.land(spark, places)
+    return spark.read.parquet(f"{places.raw}/deliveries")
+
+
+def _database(spark: SparkSession, places: flow.Places) -> str:
+    """The database of ``places``, with its files in the shared folder as well."""
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS `{places.database}` LOCATION '{places.processed}/tables'"
+    )
+    return places.database
+
+
+def table_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """The match dimension as a table in day folders."""
+    database = _database(spark, _places(spark, folder, "table_round_trip"))
+    tables.load_table(Tables(spark, folder).matches, database, "dim_matches")
+    return files.read_table(spark, database, "dim_matches")
+
+
+def fact_by_season(spark: SparkSession, folder: str) -> DataFrame:
+    """The delivery fact as a table in season folders, sorted by team."""
+    database = _database(spark, _places(spark, folder, "fact_by_season"))
+    layout = BY_SEASON["fact_deliveries"]
+    tables.load_table(Tables(spark, folder).fact, database, "fact_deliveries", layout)
+    return files.read_table(spark, database, "fact_deliveries")
+
+
+def created_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of the tables created from SQL; a second creation changes nothing."""
+    t, database = Tables(spark, folder), _database(spark, _places(spark, folder, "created_tables"))
+    for table in schemas.TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+    for _ in range(2):
+        sql_tables.create_matches(database, t.matches_as_text)
+        sql_tables.create_deliveries(database, t.deliveries_as_text)
+        tables.create_table(spark, database, "dim_seasons")
+    created = ("dim_matches", "fact_deliveries", "dim_seasons")
+    return checks.counts({name: files.read_table(spark, database, name) for name in created})
+
+
+def whole_flow(spark: SparkSession, folder: str) -> DataFrame:
+    """Batting statistics after land, transform, load and validate from CSV files."""
+    places = _places(spark, folder, "whole_flow")
+    _as_source_files(Tables(spark, folder), places)
+    flow.run(spark, places)
+    return files.read_table(spark, places.database, "batting_stats")
+
+
 def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: plan(Tables(spark, folder))
 
 
-QUERIES = {name: _query(plan) for name, plan in _PLANS.items()}
+QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
+    "csv_round_trip": csv_round_trip,
+    "table_round_trip": table_round_trip,
+    "fact_by_season": fact_by_season,
+    "created_tables": created_tables,
+    "whole_flow": whole_flow,
+}
