@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pavilion.session import many_folders
 from pavilion.sinks.layout import STANDARD
 
 MATCHES = """
@@ -64,11 +65,12 @@ def _create(database: str, table: str, rows: DataFrame) -> None:
     layout = STANDARD[table]
     folders = f"PARTITIONED BY (`{layout.partition}`)" if layout.partition else ""
     spread = layout.partition or ", ".join(layout.cluster)
-    rows.sparkSession.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` USING PARQUET {folders} AS "
-        f"SELECT /*+ REBALANCE({spread}) */ * FROM {{rows}} SORT BY {', '.join(layout.order)}",
-        rows=rows,
-    )
+    with many_folders(rows.sparkSession):
+        rows.sparkSession.sql(
+            f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` USING PARQUET {folders} AS "
+            f"SELECT /*+ REBALANCE({spread}) */ * FROM {{rows}} SORT BY {', '.join(layout.order)}",
+            rows=rows,
+        )
 
 
 def create_matches(database: str, raw_matches: DataFrame) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,3 +69,23 @@ def pinned(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def many_folders(spark: SparkSession) -> Iterator[None]:
+    """Within this block, share the work on partition folders between the cores.
+
+    A table may have thousands of day folders. By default each one is listed by
+    a task of its own, which costs more than the listing, while little data goes
+    to a single writing task however many files that task has to open.
+    """
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    smallest_task = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = {name: spark.conf.get(name) for name in (listing, smallest_task)}
+    spark.conf.set(listing, min(int(before[listing]), spark.sparkContext.defaultParallelism))
+    spark.conf.set(smallest_task, "64k")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSe
 from pyspark.sql import functions as F
 
 from pavilion import schemas
+from pavilion.session import many_folders
 from pavilion.sinks.layout import STANDARD, Layout, arranged
 
 
@@ -32,7 +33,8 @@ def write_parquet(
 ) -> dict[str, int]:
     """Replace the Parquet folder ``path``. Returns ``rows`` and any further ``counts``."""
     rows, seen = _counted(arranged(df, layout), counts)
-    _writer(rows, layout).save(path)
+    with many_folders(df.sparkSession):
+        _writer(rows, layout).save(path)
     return seen.get
 
 
@@ -51,7 +53,8 @@ def load_table(df: DataFrame, database: str, table: str, layout: Layout | None =
     """Replace a catalogue table by ``df``, laid out. Returns its number of rows."""
     layout = STANDARD[table] if layout is None else layout
     rows, seen = _counted(arranged(df, layout))
-    _writer(rows, layout).saveAsTable(f"`{database}`.`{table}`")
+    with many_folders(df.sparkSession):
+        _writer(rows, layout).saveAsTable(f"`{database}`.`{table}`")
     return seen.get["rows"]
 
 
@@ -67,4 +70,5 @@ def attach_table(
         f"CREATE TABLE {name} ({schemas.ddl(table)}) USING PARQUET {folders} LOCATION '{path}'"
     )
     if layout.partition:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        with many_folders(spark):
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pavilion import schemas
 from pavilion.functions.parsing import blank_to_null
+from pavilion.session import many_folders
 
 # Words that stand for "no value" in the raw files.
 NULL_WORDS = ("", "NA")
@@ -44,7 +45,8 @@ def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:
     as ``2009`` stays text.
     """
     schema = schemas.struct(table)
-    return spark.read.schema(schema).parquet(f"{folder}/{table}").select(*schema.names)
+    with many_folders(spark):
+        return spark.read.schema(schema).parquet(f"{folder}/{table}").select(*schema.names)
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:

@@ -97,24 +97,24 @@ _PLANS: dict[str, Callable[[Tables], DataFrame]] = {
 # ---- through files and the catalogue, in the shared scratch folder -----------
 
 
-def _places(spark: SparkSession, folder: str, name: str) -> flow.Places:
+def places(spark: SparkSession, folder: str, name: str) -> flow.Places:
     """Places of one query over one folder of test tables; a rerun replaces them."""
     label = f"{name}_{zlib.crc32(folder.encode()):08x}"
     root = scratch(spark, label)
     return flow.Places(f"{root}/source", f"{root}/raw", f"{root}/processed", label)
 
 
-def _as_source_files(t: Tables, places: flow.Places) -> None:
+def as_source_files(t: Tables, places: flow.Places) -> None:
     for raw, name in ((t.raw_matches, "matches"), (t.raw_deliveries, "deliveries")):
         raw.write.mode("overwrite").option("header", True).csv(f"{places.source}/{flow.RAW[name][0]}")
 
 
 def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Raw deliveries written as CSV, read back as text and landed."""
-    places = _places(spark, folder, "csv_round_trip")
-    _as_source_files(Tables(spark, folder), places)
-    flow.land(spark, places)
-    return spark.read.parquet(f"{places.raw}/deliveries")
+    at = places(spark, folder, "csv_round_trip")
+    as_source_files(Tables(spark, folder), at)
+    flow.land(spark, at)
+    return spark.read.parquet(f"{at.raw}/deliveries")
 
 
 def _database(spark: SparkSession, places: flow.Places) -> str:
@@ -127,14 +127,14 @@ def _database(spark: SparkSession, places: flow.Places) -> str:
 
 def table_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """The match dimension as a table in day folders."""
-    database = _database(spark, _places(spark, folder, "table_round_trip"))
+    database = _database(spark, places(spark, folder, "table_round_trip"))
     tables.load_table(Tables(spark, folder).matches, database, "dim_matches")
     return files.read_table(spark, database, "dim_matches")
 
 
 def fact_by_season(spark: SparkSession, folder: str) -> DataFrame:
     """The delivery fact as a table in season folders, sorted by team."""
-    database = _database(spark, _places(spark, folder, "fact_by_season"))
+    database = _database(spark, places(spark, folder, "fact_by_season"))
     layout = BY_SEASON["fact_deliveries"]
     tables.load_table(Tables(spark, folder).fact, database, "fact_deliveries", layout)
     return files.read_table(spark, database, "fact_deliveries")
@@ -142,7 +142,7 @@ def fact_by_season(spark: SparkSession, folder: str) -> DataFrame:
 
 def created_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Row counts of the tables created from SQL; a second creation changes nothing."""
-    t, database = Tables(spark, folder), _database(spark, _places(spark, folder, "created_tables"))
+    t, database = Tables(spark, folder), _database(spark, places(spark, folder, "created_tables"))
     for table in schemas.TABLES:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
     for _ in range(2):
@@ -155,10 +155,10 @@ def created_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 def whole_flow(spark: SparkSession, folder: str) -> DataFrame:
     """Batting statistics after land, transform, load and validate from CSV files."""
-    places = _places(spark, folder, "whole_flow")
-    _as_source_files(Tables(spark, folder), places)
-    flow.run(spark, places)
-    return files.read_table(spark, places.database, "batting_stats")
+    at = places(spark, folder, "whole_flow")
+    as_source_files(Tables(spark, folder), at)
+    flow.run(spark, at)
+    return files.read_table(spark, at.database, "batting_stats")
 
 
 def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
