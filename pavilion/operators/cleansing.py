@@ -17,7 +17,17 @@ def typed(raw: DataFrame, kinds: dict[str, str], required: tuple[str, ...]) -> D
     whole-row deduplication would prevent.
     """
     casts = {c: parsed(F.col(c), kind) for c, kind in schemas.typed_columns(kinds).items()}
-    return raw.withColumns(casts).dropna(subset=list(required))
+    return with_values(raw.withColumns(casts), required)
+
+
+def with_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Rows that have a value in each of ``columns``.
+
+    One condition per column: those on stored columns then reach the file scan.
+    """
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
 
 
 def typed_matches(raw: DataFrame) -> DataFrame:
@@ -68,4 +78,4 @@ def distinct_values(df: DataFrame, columns: tuple[str, ...], name: str) -> DataF
         values = df.select(F.col(columns[0]).alias(name))
     else:
         values = df.select(F.explode(F.array(*columns)).alias(name))
-    return values.dropna().distinct()
+    return with_values(values, (name,)).distinct()

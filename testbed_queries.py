@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,24 +22,58 @@ class Tables:
     """Lazy plans of the tables over one folder of test tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.raw_matches = testbed.raw_matches(spark, folder)
-        self.raw_deliveries = testbed.raw_deliveries(spark, folder)
-        self.typed_matches = cleansing.typed_matches(self.raw_matches)
-        self.typed_deliveries = cleansing.typed_deliveries(self.raw_deliveries)
-        self.clean_deliveries = cleansing.clean_deliveries(self.raw_deliveries)
-        self.matches = dimensions.matches(self.typed_matches)
-        self.seasons = dimensions.match_seasons(self.typed_matches)
-        # The fact without its season, for whatever can do without the join or
-        # can join after summing.
-        self.balls = facts.flagged(facts.unseasoned(self.clean_deliveries))
-        self.fact = facts.deliveries(self.clean_deliveries, self.seasons)
-        # What the SQL tables are created from: raw text without repeats, and
-        # the deliveries with the season of their match.
-        self.matches_as_text = self.raw_matches.dropna(subset=list(schemas.MATCH_KEYS)).distinct()
-        season_as_text = self.matches_as_text.selectExpr("id AS match_id", "season")
-        self.deliveries_as_text = lookup(
-            self.raw_deliveries.dropna(subset=list(schemas.DELIVERY_KEYS)).distinct(),
-            cleansing.smallest_per_key(season_as_text, "match_id"),
+        self.spark, self.folder = spark, folder
+
+    @cached_property
+    def raw_matches(self) -> DataFrame:
+        return testbed.raw_matches(self.spark, self.folder)
+
+    @cached_property
+    def raw_deliveries(self) -> DataFrame:
+        return testbed.raw_deliveries(self.spark, self.folder)
+
+    @cached_property
+    def typed_matches(self) -> DataFrame:
+        return cleansing.typed_matches(self.raw_matches)
+
+    @cached_property
+    def typed_deliveries(self) -> DataFrame:
+        return cleansing.typed_deliveries(self.raw_deliveries)
+
+    @cached_property
+    def clean_deliveries(self) -> DataFrame:
+        return cleansing.clean_deliveries(self.raw_deliveries)
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return dimensions.matches(self.typed_matches)
+
+    @cached_property
+    def seasons(self) -> DataFrame:
+        return dimensions.match_seasons(self.typed_matches)
+
+    @cached_property
+    def balls(self) -> DataFrame:
+        """The fact without its season, for whatever can do without the join or
+        can join after summing."""
+        return facts.flagged(facts.unseasoned(self.clean_deliveries))
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return facts.deliveries(self.clean_deliveries, self.seasons)
+
+    @cached_property
+    def matches_as_text(self) -> DataFrame:
+        """Raw match text without repeats, as the SQL tables are created from."""
+        return cleansing.with_values(self.raw_matches, schemas.MATCH_KEYS).distinct()
+
+    @cached_property
+    def deliveries_as_text(self) -> DataFrame:
+        """Raw delivery text without repeats, with the season of the match."""
+        seasons = self.matches_as_text.selectExpr("id AS match_id", "season")
+        return lookup(
+            cleansing.with_values(self.raw_deliveries, schemas.DELIVERY_KEYS).distinct(),
+            cleansing.smallest_per_key(seasons, "match_id"),
             "match_id",
         )
 
