@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 8
+SALTS = 4
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -> DataFrame:
@@ -14,11 +14,14 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, salts: int = SALTS) -> D
     When both sides are too large to broadcast, the rows of one key are spread
     over ``salts`` partitions by a hash of the rest of the row, and the narrow
     ``table`` is repeated that often. The salted key also makes both sides
-    shuffle for this join alone, which is the shape in which adaptive execution
-    can split a partition that is still too hot. Small tables are broadcast by
-    the planner as usual.
+    shuffle for this join alone, and only then can adaptive execution split a
+    partition that is still too hot; a table that comes straight out of an
+    aggregate on ``key`` would be joined in place and never split. The planner
+    broadcasts tables that it knows to be small as usual.
+
+    ``salts=0`` joins on the plain key: right when ``rows`` holds a key once too.
     """
-    if salts <= 1:
+    if not salts:
         return rows.join(table, key, "left")
     rest = [c for c in rows.columns if c != key]
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int")

@@ -33,7 +33,7 @@ def per_season(
         *[total.alias(name) for name, total in totals.items()]
     )
     # Without further keys there is one row per match, which needs no salting.
-    seasoned = with_season(by_match, matches, SALTS if keys else 1)
+    seasoned = with_season(by_match, matches, SALTS if keys else 0)
     return (
         seasoned.groupBy(*keys, "season")
         .agg(*[F.sum(name).alias(name) for name in totals], F.count("match_id").alias(matches_as))

@@ -46,7 +46,7 @@ def test_season_of_the_match_wins(fact, rows):
     assert rows(fact({"season": "1999"}), "season") == [("2009",)]
 
 
-@pytest.mark.parametrize("salts", [1, 3, 8])
+@pytest.mark.parametrize("salts", [0, 1, 3, 8])
 def test_salts_do_not_change_a_lookup(spark, rows, salts):
     left = spark.createDataFrame([(i % 3, i) for i in range(60)] + [(9, 0)], "k int, v int")
     table = spark.createDataFrame([(0, "a"), (1, "b"), (2, None)], "k int, name string")
