@@ -32,10 +32,14 @@ def read_csv(
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"raw file missing: {path}") from error
         raise
-    absent = [name for name in expected if name not in raw.columns]
+    headers = {name.lower() for name in raw.columns}
+    absent = [name for name in expected if name not in headers]
     if absent:
         raise ValueError(f"{path} lacks the columns {', '.join(absent)}")
-    return raw.select(*[blank_to_null(F.col(f"`{c}`"), null_words).alias(c) for c in raw.columns])
+    names = {c: c.lower() if c.lower() in expected else c for c in raw.columns}
+    return raw.select(
+        *[blank_to_null(F.col(f"`{c}`"), null_words).alias(name) for c, name in names.items()]
+    )
 
 
 def read_parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:

@@ -95,6 +95,43 @@ def test_columns_are_found_by_name(spark, tmp_path, rows):
     assert rows(raw, "id", "winner", "extra") == [("1", "A", "x")]
 
 
+def test_header_case_does_not_matter(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("Winner,ID,Extra\nA,1,x\n")
+    raw = files.read_csv(spark, str(tmp_path / "m.csv"), {"id": "bigint", "winner": "string"})
+    assert raw.columns == ["winner", "id", "Extra"]
+
+
+def test_quoted_commas_survive(spark, places, source):
+    path = Path(places.source, schemas.MATCHES_FILE)
+    path.write_text(path.read_text().replace("Oval", '"The Oval, north end"'))
+    flow.run(spark, places)
+    venues = {r["venue"] for r in files.read_table(spark, places.database, "dim_matches").collect()}
+    assert venues == {'The Oval, north end', "Lords"}
+
+
+def test_sql_over_the_tables(spark, places):
+    """The reports as SQL text, run by Spark on the loaded tables."""
+    import oracle
+
+    flow.run(spark, places)
+    options = {
+        "best_strike_rates": {"min_balls": 590},
+        "powerplay_economy": {"overs": (1, 2), "min_balls": 165},
+        "milestones": {"half_century": 6, "century": 12},
+    }
+    spark.sql(f"USE {places.database}")
+    spark.conf.set("spark.sql.ansi.doubleQuotedIdentifiers", "true")
+    try:
+        for name, sql in oracle.REPORTS.items():
+            by_sql = spark.sql(sql)
+            by_frame = report(spark, places.database, name, **options.get(name, {}))
+            assert by_sql.columns == by_frame.columns
+            assert sorted(map(repr, by_sql.collect())) == sorted(map(repr, by_frame.collect())), name
+    finally:
+        spark.conf.unset("spark.sql.ansi.doubleQuotedIdentifiers")
+        spark.sql("USE default")
+
+
 def test_files_with_other_headers_are_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,winner\n1,A\n")
     (tmp_path / "b.csv").write_text("winner,id\nA,1\n")
