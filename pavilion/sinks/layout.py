@@ -14,16 +14,26 @@ from pyspark.sql import DataFrame
 
 @dataclass(frozen=True)
 class Layout:
-    """``unique`` says that the cluster columns together identify a row."""
+    """``unique`` says that the cluster columns together identify a row.
+
+    ``fine`` is for folders that hold many files each: rows then come together
+    by folder and cluster values, so that a file holds few cluster values. Small
+    folders are better off without it, with all their rows in one file.
+    """
 
     partition: str | None = None
     cluster: tuple[str, ...] = ()
     unique: bool = False
+    fine: bool = False
 
     @property
     def order(self) -> list[str]:
         return [self.partition, *self.cluster] if self.partition else list(self.cluster)
 
+    @property
+    def together(self) -> list[str]:
+        return self.order if self.fine or not self.partition else [self.partition]
+
 
 # Partition and cluster columns of the tables, in load order.
 STANDARD = {
@@ -40,7 +50,7 @@ STANDARD = {
 # than one per day, and the filters of the season reports prune them.
 BY_SEASON = STANDARD | {
     "dim_matches": Layout("season_year", ("team1", "team2")),
-    "fact_deliveries": Layout("season", ("batting_team", "bowling_team")),
+    "fact_deliveries": Layout("season", ("batting_team", "bowling_team"), fine=True),
 }
 
 
@@ -58,5 +68,5 @@ def arranged(df: DataFrame, layout: Layout) -> DataFrame:
     if layout.unique and not layout.partition:
         spread = df.repartitionByRange(*layout.cluster)
     else:
-        spread = df.hint("rebalance", *([layout.partition] if layout.partition else layout.cluster))
+        spread = df.hint("rebalance", *layout.together)
     return spread.sortWithinPartitions(*layout.order)
