@@ -215,7 +215,8 @@ CHECKS = {
     "csv_round_trip": "SELECT * FROM raw_deliveries",
     "table_round_trip": "SELECT * FROM dim_matches",
     "fact_by_season": "SELECT * FROM fact_deliveries",
-    "whole_flow": "SELECT * FROM batting_stats",
+    "flow_batting_stats": "SELECT * FROM batting_stats",
+    "flow_dim_players": "SELECT * FROM dim_players",
 }
 
 

@@ -18,6 +18,7 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--raw", default="data/raw", help="raw zone")
     parser.add_argument("--processed", default="data/processed", help="processed zone")
     parser.add_argument("--database", default="cricket")
+    parser.add_argument("--tables", help="folder of the database, if it has to be created")
     parser.add_argument("--by-season", action="store_true", help="season folders instead of days")
     parser.add_argument("--copy", action="store_true", help="load copies into the database")
     arguments = parser.parse_args()
@@ -28,7 +29,7 @@ def _arguments() -> argparse.Namespace:
 
 def main() -> None:
     asked = _arguments()
-    places = flow.Places(asked.source, asked.raw, asked.processed, asked.database)
+    places = flow.Places(asked.source, asked.raw, asked.processed, asked.database, asked.tables)
     layouts = BY_SEASON if asked.by_season else STANDARD
     spark = open_session()
     if asked.stage == "land":

@@ -25,12 +25,17 @@ RAW = {
 
 @dataclass(frozen=True)
 class Places:
-    """Where things are: source files, raw zone, processed zone, database."""
+    """Where things are: source files, raw zone, processed zone, database.
+
+    ``tables`` is the folder of a database that has to be created; by default it
+    lies in the session's warehouse folder.
+    """
 
     source: str
     raw: str
     processed: str
     database: str
+    tables: str | None = None
 
 
 def land(
@@ -58,8 +63,8 @@ def transform(
 ) -> dict[str, int]:
     """Build the seven tables in the processed zone. Returns their row counts.
 
-    The fact is written once; players and statistics are derived from the
-    written fact, which reads a few of its columns instead of redoing the work.
+    The fact is written once and the statistics are derived from the written
+    fact, reading a few of its columns; the players come from the statistics.
     """
     rows = {}
 
@@ -75,9 +80,9 @@ def transform(
     write("dim_seasons", dimensions.seasons(matches))
     clean = cleansing.clean_deliveries(raw["deliveries"])
     fact = write("fact_deliveries", facts.deliveries(clean, written))
-    write("dim_players", dimensions.players(fact))
-    write("batting_stats", stats.batting(fact))
-    write("bowling_stats", stats.bowling(fact))
+    batting = write("batting_stats", stats.batting(fact))
+    bowling = write("bowling_stats", stats.bowling(fact))
+    write("dim_players", dimensions.players_of(batting, bowling))
     return rows
 
 
@@ -92,7 +97,7 @@ def load(
     The processed folders already have the layout, so by default the tables are
     put on top of them. With ``copy`` the database gets rows of its own.
     """
-    tables.create_database(spark, places.database)
+    tables.create_database(spark, places.database, places.tables)
     for table in STANDARD:
         if copy:
             df = files.read_parquet(spark, places.processed, table)

@@ -56,6 +56,17 @@ def players(deliveries: DataFrame, columns: tuple[str, ...] = PLAYER_COLUMNS) ->
     return with_dense_key(names, "player_name", "player_id")
 
 
+def players_of(batting_stats: DataFrame, bowling_stats: DataFrame) -> DataFrame:
+    """The same players, from the statistics.
+
+    Whoever batted or bowled has a row there, and those tables are far smaller
+    than the deliveries.
+    """
+    batters = batting_stats.select(F.col("batsman").alias("player_name"))
+    names = batters.union(bowling_stats.select("bowler")).distinct()
+    return with_dense_key(names, "player_name", "player_id")
+
+
 def seasons(typed_matches: DataFrame) -> DataFrame:
     names = distinct_values(typed_matches, ("season",), "season_year")
     return with_dense_key(names, "season_year", "season_id")

@@ -38,8 +38,10 @@ def write_parquet(
     return seen.get
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """A database unless it exists, in ``location`` or the session's warehouse folder."""
+    where = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` {where}")
 
 
 def create_table(spark: SparkSession, database: str, table: str) -> None:

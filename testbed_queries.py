@@ -136,7 +136,9 @@ def places(spark: SparkSession, folder: str, name: str) -> flow.Places:
     """Places of one query over one folder of test tables; a rerun replaces them."""
     label = f"{name}_{zlib.crc32(folder.encode()):08x}"
     root = scratch(spark, label)
-    return flow.Places(f"{root}/source", f"{root}/raw", f"{root}/processed", label)
+    return flow.Places(
+        f"{root}/source", f"{root}/raw", f"{root}/processed", label, f"{root}/tables"
+    )
 
 
 def as_source_files(t: Tables, places: flow.Places) -> None:
@@ -153,10 +155,7 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _database(spark: SparkSession, places: flow.Places) -> str:
-    """The database of ``places``, with its files in the shared folder as well."""
-    spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS `{places.database}` LOCATION '{places.processed}/tables'"
-    )
+    tables.create_database(spark, places.database, places.tables)
     return places.database
 
 
@@ -188,12 +187,20 @@ def created_tables(spark: SparkSession, folder: str) -> DataFrame:
     return checks.counts({name: files.read_table(spark, database, name) for name in created})
 
 
-def whole_flow(spark: SparkSession, folder: str) -> DataFrame:
-    """Batting statistics after land, transform, load and validate from CSV files."""
-    at = places(spark, folder, "whole_flow")
+def _after_flow(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A table after land, transform, load and validate from CSV files, by season."""
+    at = places(spark, folder, f"flow_{table}")
     as_source_files(Tables(spark, folder), at)
-    flow.run(spark, at)
-    return files.read_table(spark, at.database, "batting_stats")
+    flow.run(spark, at, BY_SEASON)
+    return files.read_table(spark, at.database, table)
+
+
+def flow_batting_stats(spark: SparkSession, folder: str) -> DataFrame:
+    return _after_flow(spark, folder, "batting_stats")
+
+
+def flow_dim_players(spark: SparkSession, folder: str) -> DataFrame:
+    return _after_flow(spark, folder, "dim_players")
 
 
 def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -205,5 +212,6 @@ QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
     "table_round_trip": table_round_trip,
     "fact_by_season": fact_by_season,
     "created_tables": created_tables,
-    "whole_flow": whole_flow,
+    "flow_batting_stats": flow_batting_stats,
+    "flow_dim_players": flow_dim_players,
 }

@@ -52,6 +52,14 @@ def test_players_and_more_columns(spark, raw_deliveries, rows):
     assert [n for _, n in sorted(rows(wider))] == ["Abe", "Ann", "Bob", "Cat"]
 
 
+def test_players_of_the_statistics_are_those_of_the_deliveries(fact, rows):
+    from pavilion.plans import stats
+
+    built = fact({}, {"batsman": "Bob", "bowler": "Cat"}, {"match_id": "9", "batsman": "Dan"})
+    players = dimensions.players_of(stats.batting(built), stats.bowling(built))
+    assert sorted(rows(players)) == sorted(rows(dimensions.players(built)))
+
+
 def test_seasons_sort_as_text(spark, raw_matches, rows):
     raw = raw_matches(*[{"season": s} for s in ("2020/21", "2009", "2007/08", "2009", None)])
     seasons = dimensions.seasons(cleansing.typed_matches(raw))
