@@ -171,6 +171,20 @@ def test_rows_are_sorted_inside_files(spark, tmp_path, fact):
         assert teams == sorted(teams)
 
 
+def test_keyed_tables_come_out_in_order(spark, tmp_path, conf):
+    """Written as they are, files hold sorted rows and ranges that do not overlap."""
+    from pavilion.operators.keys import with_dense_key
+
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    names = spark.range(2000).select(F.sha2(F.col("id").cast("string"), 256).alias("name"))
+    tables.write_parquet(with_dense_key(names, "name", "key"), str(tmp_path / "names"))
+    files = [spark.read.parquet(f).collect() for f in glob.glob(f"{tmp_path}/names/*.parquet")]
+    files = sorted(f for f in files if f)
+    assert len(files) == 4
+    read = [row["key"] for file in files for row in file]
+    assert read == list(range(1, 2001))
+
+
 def test_season_filter_prunes_folders(spark, tmp_path, fact):
     built = fact({}, {"match_id": "2"}, matches=({}, {"id": "2", "season": "2010"}))
     tables.write_parquet(built, f"{tmp_path}/fact_deliveries", Layout("season", ("batting_team",)))
