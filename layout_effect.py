@@ -19,7 +19,7 @@ from pavilion.session import open_session
 from pavilion.sinks.layout import BY_SEASON, STANDARD, Layout
 from pavilion.sinks.tables import write_parquet
 from pavilion.sources.files import read_parquet
-from testbed_queries import Tables
+from pavilion.testbed.queries import Tables
 
 METRICS = {"number of files read": "files", "size of files read": "bytes", "number of output rows": "rows"}
 LAYOUTS = {"plain": {}, "standard": STANDARD, "by season": BY_SEASON}

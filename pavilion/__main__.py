@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pavilion import checks, flow
 from pavilion.plans.reports import REPORTS, report
@@ -29,6 +30,8 @@ def _arguments() -> argparse.Namespace:
 
 def main() -> None:
     asked = _arguments()
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
+    logging.getLogger("py4j").setLevel(logging.WARNING)
     places = flow.Places(asked.source, asked.raw, asked.processed, asked.database, asked.tables)
     layouts = BY_SEASON if asked.by_season else STANDARD
     spark = open_session()

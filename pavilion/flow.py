@@ -6,6 +6,7 @@ them can be run again.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,8 @@ from pavilion.sinks import tables
 from pavilion.sinks.layout import STANDARD, Layout
 from pavilion.sources import files
 
+log = logging.getLogger(__name__)
+
 RAW = {
     "matches": (schemas.MATCHES_FILE, schemas.RAW_MATCHES),
     "deliveries": (schemas.DELIVERIES_FILE, schemas.RAW_DELIVERIES),
@@ -50,12 +53,12 @@ def land(
         name: files.read_csv(spark, f"{places.source}/{file}", kinds, null_words)
         for name, (file, kinds) in RAW.items()
     }
-    return {
-        name: tables.write_parquet(
-            raw, f"{places.raw}/{name}", counts=cleansing.reject_counts(RAW[name][1])
-        )
-        for name, raw in found.items()
-    }
+    counts = {}
+    for name, raw in found.items():
+        rejects = cleansing.reject_counts(RAW[name][1])
+        counts[name] = tables.write_parquet(raw, f"{places.raw}/{name}", counts=rejects)
+        log.info("landed %s: %s", name, counts[name])
+    return counts
 
 
 def transform(
@@ -74,6 +77,7 @@ def transform(
         layout = Layout() if in_order else layouts[table]
         path = f"{places.processed}/{table}"
         rows[table] = tables.write_parquet(df, path, layout)["rows"]
+        log.info("wrote %s: %s rows", table, rows[table])
         return files.read_parquet(spark, places.processed, table)
 
     raw = {name: spark.read.parquet(f"{places.raw}/{name}") for name in RAW}
@@ -94,20 +98,25 @@ def load(
     places: Places,
     layouts: dict[str, Layout] = STANDARD,
     copy: bool = False,
-) -> None:
+) -> dict[str, int]:
     """Make the processed tables the content of the database.
 
     The processed folders already have the layout, so by default the tables are
-    put on top of them. With ``copy`` the database gets rows of its own.
+    put on top of them. With ``copy`` the database gets rows of its own, and the
+    number of rows loaded into each table is returned.
     """
+    loaded = {}
     tables.create_database(spark, places.database, places.tables)
     for table in STANDARD:
         if copy:
             df = files.read_parquet(spark, places.processed, table)
-            tables.load_table(df, places.database, table, layouts[table])
+            loaded[table] = tables.load_table(df, places.database, table, layouts[table])
+            log.info("loaded %s: %s rows", table, loaded[table])
         else:
             path = f"{places.processed}/{table}"
             tables.attach_table(spark, places.database, table, path, layouts[table])
+            log.info("attached %s", table)
+    return loaded
 
 
 def run(

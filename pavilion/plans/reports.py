@@ -98,21 +98,29 @@ def milestones(
 def runs_per_dismissal(fact: DataFrame) -> DataFrame:
     """Batting average in the usual sense, for everyone who faced a ball.
 
-    Runs and dismissals are counted under the same name by one aggregate, so
-    there is no join and a name is reduced in every task before the shuffle.
+    One scan sums runs and balls per batter and player dismissed, which leaves
+    few rows; each is then counted for both names, so there is no join.
     """
-    faced = fact.select(
-        F.col("batsman"), F.col("batsman_runs").alias("runs"), F.lit(1).alias("faced"), F.lit(0).alias("out")
+    none = F.lit(0).cast("bigint")
+    pairs = fact.groupBy("batsman", "player_dismissed").agg(
+        F.sum("batsman_runs").alias("runs"), F.count("*").alias("balls")
     )
-    dismissed = fact.where(F.col("player_dismissed").isNotNull()).select(
-        F.col("player_dismissed"), F.lit(None).cast("int"), F.lit(0), F.lit(1)
+    faced = F.struct(
+        F.col("batsman"), F.col("runs"), F.col("balls").alias("faced"), none.alias("dismissed")
+    )
+    dismissed = F.struct(
+        F.col("player_dismissed").alias("batsman"),
+        F.lit(None).cast("bigint").alias("runs"),
+        none.alias("faced"),
+        F.col("balls").alias("dismissed"),
     )
     return (
-        faced.union(dismissed)
+        pairs.select(F.inline(F.array(faced, dismissed)))
+        .where(F.col("batsman").isNotNull())
         .groupBy("batsman")
         .agg(
             F.sum("runs").alias("total_runs"),
-            F.sum("out").alias("dismissals"),
+            F.sum("dismissed").alias("dismissals"),
             F.sum("faced").alias("faced"),
         )
         .where(F.col("faced") > 0)

@@ -8,48 +8,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pavilion import schemas
 from pavilion.session import many_folders
 from pavilion.sinks.layout import STANDARD
 
-MATCHES = """
-    SELECT try_cast(id AS bigint) AS match_id,
-           season AS season_year,
-           city,
-           venue,
-           CAST(try_to_date(date, 'yyyy-MM-dd') AS date) AS match_date,
-           team1,
-           team2,
-           toss_winner,
-           toss_decision,
-           winner AS match_winner,
-           try_cast(win_by_runs AS int) AS win_by_runs,
-           try_cast(win_by_wickets AS int) AS win_by_wickets,
-           player_of_match
-    FROM {raw_matches}
+
+def _typed(kinds: dict[str, str], renames: dict[str, str] | None = None) -> str:
+    """Select list that casts raw text to the declared columns."""
+    forms = {"string": "{raw}", "date": "CAST(try_to_date({raw}, 'yyyy-MM-dd') AS date)"}
+    items = []
+    for name, kind in kinds.items():
+        raw = (renames or {}).get(name, name)
+        items.append(forms.get(kind, "try_cast({raw} AS {kind})").format(raw=raw, kind=kind) + f" AS {name}")
+    return ", ".join(items)
+
+
+MATCHES = f"""
+    SELECT {_typed(schemas.TABLES["dim_matches"], schemas.MATCH_RENAMES)}
+    FROM {{raw_matches}}
 """
 
-# Numbers are cast once, below; the flags only name the results.
-DELIVERIES = """
-    WITH typed AS (
-        SELECT try_cast(match_id AS bigint) AS match_id, season,
-               try_cast(inning AS int) AS inning, batting_team, bowling_team,
-               try_cast(over AS int) AS over, try_cast(ball AS int) AS ball,
-               batsman, non_striker, bowler,
-               try_cast(batsman_runs AS int) AS batsman_runs,
-               try_cast(extra_runs AS int) AS extra_runs,
-               try_cast(total_runs AS int) AS total_runs,
-               player_dismissed, dismissal_kind
-        FROM {raw_deliveries}
+# Numbers are cast once, in the inner query; the flags only name the results.
+DELIVERIES = f"""
+    SELECT {", ".join(schemas.columns("fact_deliveries"))}
+    FROM (
+        SELECT *,
+               if(batsman_runs IN (4, 6), 1, 0) AS is_boundary,
+               if(batsman_runs = 4, 1, 0) AS is_four,
+               if(batsman_runs = 6, 1, 0) AS is_six,
+               if(total_runs = 0, 1, 0) AS is_dot_ball,
+               if(player_dismissed IS NULL, 0, 1) AS is_wicket
+        FROM (SELECT season, {_typed(schemas.RAW_DELIVERIES)} FROM {{raw_deliveries}})
     )
-    SELECT match_id, season, inning, batting_team, bowling_team, over, ball,
-           batsman, non_striker, bowler, batsman_runs, extra_runs, total_runs,
-           if(batsman_runs IN (4, 6), 1, 0) AS is_boundary,
-           if(batsman_runs = 4, 1, 0) AS is_four,
-           if(batsman_runs = 6, 1, 0) AS is_six,
-           if(total_runs = 0, 1, 0) AS is_dot_ball,
-           if(player_dismissed IS NULL, 0, 1) AS is_wicket,
-           player_dismissed, dismissal_kind
-    FROM typed
 """
 
 

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from pavilion.sources import testbed
+from pavilion.testbed import mapping
 
 
-def _select(mapping: dict[str, str]) -> str:
-    return ", ".join(f"{sql} AS {name}" for name, sql in mapping.items())
+def _select(columns: dict[str, str]) -> str:
+    return ", ".join(f"{sql} AS {name}" for name, sql in columns.items())
 
 
 # Named parts, each using only earlier ones. A statement gets the ones it needs.
 PARTS = {
     "raw_matches": f"""
         SELECT m.* FROM (
-            SELECT {_select(testbed.MATCHES)}
+            SELECT {_select(mapping.MATCHES)}
             FROM orders
             LEFT JOIN customer ON o_custkey = c_custkey
             LEFT JOIN nation ON c_nationkey = n_nationkey) m
         CROSS JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
         WHERE c.copy = 1 OR m.id LIKE '%7'""",
     "raw_deliveries": f"""
-        SELECT d.* FROM (SELECT {_select(testbed.DELIVERIES)} FROM lineitem) d
+        SELECT d.* FROM (SELECT {_select(mapping.DELIVERIES)} FROM lineitem) d
         CROSS JOIN (SELECT 1 AS copy UNION ALL SELECT 2) c
         WHERE c.copy = 1 OR d.match_id LIKE '%7'""",
     "clean_matches": """
@@ -76,11 +76,11 @@ PARTS = {
         SELECT d.match_id, m.season_year AS season, inning, batting_team, bowling_team,
                "over", ball, batsman, non_striker, bowler,
                batsman_runs, extra_runs, total_runs,
-               CASE WHEN batsman_runs IN (4, 6) THEN 1 ELSE 0 END AS is_boundary,
-               CASE WHEN batsman_runs = 4 THEN 1 ELSE 0 END AS is_four,
-               CASE WHEN batsman_runs = 6 THEN 1 ELSE 0 END AS is_six,
-               CASE WHEN total_runs = 0 THEN 1 ELSE 0 END AS is_dot_ball,
-               CASE WHEN player_dismissed IS NOT NULL THEN 1 ELSE 0 END AS is_wicket,
+               CAST(coalesce(batsman_runs, 0) IN (4, 6) AS INTEGER) AS is_boundary,
+               CAST(coalesce(batsman_runs, 0) = 4 AS INTEGER) AS is_four,
+               CAST(coalesce(batsman_runs, 0) = 6 AS INTEGER) AS is_six,
+               CAST(coalesce(total_runs, 1) = 0 AS INTEGER) AS is_dot_ball,
+               CAST(player_dismissed IS NOT NULL AS INTEGER) AS is_wicket,
                player_dismissed, dismissal_kind
         FROM clean_deliveries d LEFT JOIN dim_matches m ON d.match_id = m.match_id""",
     "batting_stats": """

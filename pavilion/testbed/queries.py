@@ -15,7 +15,8 @@ from pavilion.plans import dimensions, facts, reports, sql_tables, stats
 from pavilion.session import scratch
 from pavilion.sinks import tables
 from pavilion.sinks.layout import BY_SEASON
-from pavilion.sources import files, testbed
+from pavilion.sources import files
+from pavilion.testbed import mapping
 
 
 class Tables:
@@ -26,11 +27,11 @@ class Tables:
 
     @cached_property
     def raw_matches(self) -> DataFrame:
-        return testbed.raw_matches(self.spark, self.folder)
+        return mapping.raw_matches(self.spark, self.folder)
 
     @cached_property
     def raw_deliveries(self) -> DataFrame:
-        return testbed.raw_deliveries(self.spark, self.folder)
+        return mapping.raw_deliveries(self.spark, self.folder)
 
     @cached_property
     def typed_matches(self) -> DataFrame:

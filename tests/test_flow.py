@@ -111,7 +111,7 @@ def test_quoted_commas_survive(spark, places, source):
 
 def test_sql_over_the_tables(spark, places):
     """The reports as SQL text, run by Spark on the loaded tables."""
-    import oracle
+    from pavilion.testbed import oracle
 
     flow.run(spark, places)
     options = {
@@ -216,3 +216,18 @@ def test_command_line(places, tmp_path):
     assert shown.returncode == 0, shown.stderr
     assert "|A   |1   |" in shown.stdout
     assert call("report").returncode == 2
+
+
+def test_season_folders_keep_odd_seasons(spark, places, source):
+    """A label with a slash, one that looks like a number, and no season at all."""
+    seasons = ["2007/08", "2009", "0010"]
+    matches = [MATCHES[0] | {"id": str(i), "season": s} for i, s in enumerate(seasons)]
+    balls = [DELIVERIES[0] | {"match_id": str(i)} for i in range(4)]
+    source(matches, balls, places.source)
+    flow.run(spark, places, BY_SEASON)
+    fact = files.read_table(spark, places.database, "fact_deliveries").collect()
+    assert {r["match_id"]: r["season"] for r in fact} == {0: "2007/08", 1: "2009", 2: "0010", 3: None}
+    dim = files.read_table(spark, places.database, "dim_seasons").orderBy("season_id").collect()
+    assert [r["season_year"] for r in dim] == ["0010", "2007/08", "2009"]
+    totals = report(spark, places.database, "season_totals").collect()
+    assert [r["season"] for r in totals] == [None, "0010", "2007/08", "2009"]

@@ -36,7 +36,7 @@ def test_entry(spark):
 
 def test_season_sum_agrees_everywhere(spark):
     """Total runs are the same in the fact, both statistics and the season report."""
-    from testbed_queries import Tables
+    from pavilion.testbed.queries import Tables
 
     from pavilion.plans import reports, stats
 
@@ -54,7 +54,7 @@ def test_season_sum_agrees_everywhere(spark):
     "build", ["batting", "bowling", "season_totals", "most_sixes_in_season"]
 )
 def test_summing_before_the_join_changes_nothing(spark, rows, build):
-    from testbed_queries import Tables
+    from pavilion.testbed.queries import Tables
 
     from pavilion.plans import reports, stats
 

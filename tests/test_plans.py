@@ -16,7 +16,7 @@ from pavilion.operators.ranking import top_per_group
 from pavilion.plans import facts, reports
 from pavilion.sinks import tables
 from pavilion.sinks.layout import STANDARD, Layout
-from testbed_queries import Tables
+from pavilion.testbed.queries import Tables
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -77,9 +77,9 @@ def test_required_text_columns_are_checked_by_the_scan(spark, tmp_path, raw_deli
 
 def test_no_query_uses_a_cross_join_or_python(spark, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    import testbed_queries
+    from pavilion.testbed import queries
 
-    for name, build in testbed_queries._PLANS.items():
+    for name, build in queries._PLANS.items():
         text = plan(build(Tables(spark, FOLDER)))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
             assert word not in text, (name, word)
@@ -88,12 +88,12 @@ def test_no_query_uses_a_cross_join_or_python(spark, conf):
 def test_single_partition_only_for_offsets_and_counts(spark, conf):
     """Only partition sizes and ungrouped counts may meet in one task."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    import testbed_queries
+    from pavilion.testbed import queries
 
     allowed = {"dim_teams", "dim_players", "dim_seasons", "table_counts"}
     found = {
         name
-        for name, build in testbed_queries._PLANS.items()
+        for name, build in queries._PLANS.items()
         if "SinglePartition" in plan(build(Tables(spark, FOLDER)))
     }
     assert found <= allowed
