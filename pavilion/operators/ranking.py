@@ -11,11 +11,23 @@ def top(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def top_per_group(df: DataFrame, group: str, k: int, *order: Column | str) -> DataFrame:
+def _first(df: DataFrame, group: list[str], k: int, order: tuple) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("rank", place).where(F.col("rank") <= k)
+
+
+def top_per_group(
+    df: DataFrame, group: str, k: int, *order: Column | str, salts: int = 32
+) -> DataFrame:
     """First ``k`` rows of every group, with their ``rank``.
 
     The planner turns the rank filter into a per-task limit before the shuffle,
-    so a group that holds most rows still sends at most ``k`` per task.
+    so a group that holds most rows still sends at most ``k`` per task. It does
+    so up to a certain ``k``; beyond that, a group is first cut down to ``k`` in
+    each of ``salts`` parts.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.withColumn("rank", place).where(F.col("rank") <= k)
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if k > limit:
+        parts = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+        df = _first(parts, [group, "salt"], k, order).select(*df.columns)
+    return _first(df, [group], k, order)

@@ -7,6 +7,7 @@ from the write itself; nothing is read back to be counted.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import AbstractContextManager, nullcontext
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,12 +29,16 @@ def _writer(df: DataFrame, layout: Layout) -> DataFrameWriter:
     return writer.partitionBy(layout.partition) if layout.partition else writer
 
 
+def _folders(df: DataFrame, layout: Layout) -> AbstractContextManager[None]:
+    return many_folders(df.sparkSession) if layout.partition else nullcontext()
+
+
 def write_parquet(
     df: DataFrame, path: str, layout: Layout = Layout(), counts: Sequence[Column] = ()
 ) -> dict[str, int]:
     """Replace the Parquet folder ``path``. Returns ``rows`` and any further ``counts``."""
     rows, seen = _counted(arranged(df, layout), counts)
-    with many_folders(df.sparkSession):
+    with _folders(df, layout):
         _writer(rows, layout).save(path)
     return seen.get
 
@@ -55,7 +60,7 @@ def load_table(df: DataFrame, database: str, table: str, layout: Layout | None =
     """Replace a catalogue table by ``df``, laid out. Returns its number of rows."""
     layout = STANDARD[table] if layout is None else layout
     rows, seen = _counted(arranged(df, layout))
-    with many_folders(df.sparkSession):
+    with _folders(df, layout):
         _writer(rows, layout).saveAsTable(f"`{database}`.`{table}`")
     return seen.get["rows"]
 
