@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavilion.llm import decontamination, near_dedup
+from pavilion.llm import byte_pairs, decontamination, near_dedup, repeated_passages
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,38 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 bytes removed that an earlier document of ``documents`` has."""
+    result = repeated_passages.without_repeated_passages(_table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return result.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def _tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op7_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` encoded and decoded again."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    tokens, ids = byte_pairs.encoded(docs, _tokenizer())
+    back, text = byte_pairs.decoded(tokens.drop("text"), _tokenizer(), ids)
+    return back.select(
+        "doc_id",
+        byte_pairs.id_count(ids).alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2(text, 256).alias("decoded_sha256"),
+    )
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Contamination of every document by ``benchmark``."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -35,6 +67,8 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op7_trie_bpe": op7_trie_bpe,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
