@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavilion.llm import byte_pairs, decontamination, near_dedup, repeated_passages
+from pavilion.llm import byte_pairs, decontamination, near_dedup, quality_rules, repeated_passages
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,13 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Rule statistics and verdict for every document."""
+    judged = quality_rules.judged(_table(spark, folder, "documents"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *counts, "base_failed", "kept", F.round("quality", 6).alias("quality_chance"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 bytes removed that an earlier document of ``documents`` has."""
     result = repeated_passages.without_repeated_passages(_table(spark, folder, "documents"))
@@ -67,6 +74,7 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op7_trie_bpe": op7_trie_bpe,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
