@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavilion.llm import byte_pairs, decontamination, near_dedup, quality_rules, repeated_passages
+from pavilion.llm import byte_pairs, decontamination, near_dedup, personal_data, quality_rules, repeated_passages, url_rules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +39,45 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# The rules of the query.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op5_url_range_join(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule that fits each URL of ``pages``, and its verdict."""
+    named = [F.struct(*[F.lit(v).alias(n) for n, v in zip(("host", "path", "verdict"), r, strict=True)]) for r in URL_RULES]
+    rules = spark.range(1).select(F.inline(F.array(*named)))
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    judged, names = url_rules.judged(pages, rules)
+    return judged.select("page_id", *[F.col(n).alias(c) for n, c in zip(names, ("host", "path", "rule", "verdict"), strict=True)])
+
+
+OP5_SQL = r"""
+WITH urls AS (
+    SELECT page_id, CASE WHEN instr(coalesce(url, ''), '://') > 0
+        THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls
+), rules(rule_host, rule_path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+        ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), fits AS (
+    SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+        arg_max(verdict, length(rule_host || rule_path)) AS verdict
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
+"""
+
+
 def _tokenizer() -> str:
     import public_tokenizers
 
@@ -58,6 +97,21 @@ def op7_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document."""
+    found = personal_data.found(_table(spark, folder, "documents"))
+    told = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in personal_data.BASE],
+        F.sha2(told("base"), 256).alias("base_sha256"),
+        told("spans").alias("spans"),
+    )
+
+
 def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Contamination of every document by ``benchmark``."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -76,8 +130,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_url_range_join": op5_url_range_join,
     "op7_trie_bpe": op7_trie_bpe,
+    "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_url_range_join": OP5_SQL}
