@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavilion.llm import byte_pairs, decontamination, near_dedup, personal_data, quality_rules, repeated_passages, url_rules
+from pavilion.llm import byte_pairs, decontamination, near_dedup, personal_data, quality_rules, repeated_passages, rule_ensemble, url_rules, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -78,7 +78,13 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 """
 
 
-def _tokenizer() -> str:
+def op6_rule_ensemble(spark: SparkSession, folder: str) -> DataFrame:
+    """A quality score for every document, learnt from four fifths of ``labels``."""
+    return rule_ensemble.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def tokenizer_path() -> str:
+    """The tokenizer file of the queries."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -87,8 +93,8 @@ def _tokenizer() -> str:
 def op7_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` encoded and decoded again."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    tokens, ids = byte_pairs.encoded(docs, _tokenizer())
-    back, text = byte_pairs.decoded(tokens.drop("text"), _tokenizer(), ids)
+    tokens, ids = byte_pairs.encoded(docs, tokenizer_path())
+    back, text = byte_pairs.decoded(tokens.drop("text"), tokenizer_path(), ids)
     return back.select(
         "doc_id",
         byte_pairs.id_count(ids).alias("n_tokens"),
@@ -126,14 +132,40 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """``pages`` written as WARC records and read back."""
+    path = warc.write_pages(_table(spark, folder, "pages"))
+    pages = warc.read_pages(spark, path)
+    return pages.select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+OP10_SQL = r"""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), f AS (
+    SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_range_join": op5_url_range_join,
+    "op6_rule_ensemble": op6_rule_ensemble,
     "op7_trie_bpe": op7_trie_bpe,
     "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_warc": op10_warc,
 }
 
-ORACLES: dict[str, str] = {"op5_url_range_join": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_url_range_join": OP5_SQL, "op10_warc": OP10_SQL}
