@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavilion.llm import byte_pairs, decontamination, near_dedup, personal_data, quality_rules, repeated_passages, rule_ensemble, url_rules, warc
+from pavilion.llm import byte_pairs, decontamination, license_scan, near_dedup, personal_data, quality_rules, repeated_passages, rule_ensemble, url_rules, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,21 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licences in every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    result, (ids, licenses, unmatched, kind, usable) = license_scan.scanned(docs)
+    return result.select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_sentences"),
+        F.array_join(ids, ",").alias("sentence_ids"),
+        F.array_join(licenses, ",").alias("licenses"),
+        F.array_join(unmatched, ",").alias("unmatched"),
+        F.col(kind).alias("license_class"),
+        F.col(usable).alias("usable"),
+    )
+
+
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Rule statistics and verdict for every document."""
     judged = quality_rules.judged(_table(spark, folder, "documents"))
@@ -158,6 +173,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_url_range_join": op5_url_range_join,
