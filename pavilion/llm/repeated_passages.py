@@ -54,6 +54,17 @@ def _values(raw: bytes | None, kind) -> np.ndarray:
     return np.frombuffer(raw or b"", dtype=kind)
 
 
+def _packed(prints: np.ndarray) -> bytes:
+    """Sorted 32-bit numbers as steps, byte plane by byte plane, which compresses better."""
+    steps = np.diff(prints.astype("<u4"), prepend=np.zeros(1, "<u4")).astype("<u4")
+    return steps.view("u1").reshape(-1, 4).T.tobytes()
+
+
+def _unpacked_prints(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype="u1").reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype="<u4")
+
+
 def _pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Pieces of the texts, the text each is from, and where in it each begins."""
     pieces, docs, offsets = [], [], []
@@ -112,8 +123,7 @@ def _gathered(buffer: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tup
     """The bytes of segments of ``counts`` passages, and where each begins in them."""
     sizes = counts + LENGTH - 1
     begins = np.cumsum(sizes) - sizes
-    index = np.repeat(starts - begins, sizes) + np.arange(int(sizes.sum()))
-    return buffer[index], begins
+    return buffer[_runs_of(starts, sizes)], begins
 
 
 def _suffix_ranks(text: np.ndarray) -> np.ndarray:
@@ -158,31 +168,70 @@ def earlier(text: np.ndarray, begins: np.ndarray, counts: np.ndarray, ids: np.nd
     ranks = _suffix_ranks(text)
     before = np.cumsum(counts) - counts
     at = np.repeat(begins - before, counts) + np.arange(int(counts.sum()))
-    owner = np.repeat(ids, counts)
-    rank = ranks[at]
-    order = np.lexsort((owner, rank))
-    sorted_rank = rank[order]
-    new = np.concatenate([[True], sorted_rank[1:] != sorted_rank[:-1]])
-    lowest = owner[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+    order_of_ids, place = np.unique(ids, return_inverse=True)
+    owner = np.repeat(place, counts)
+    bits, low = len(at).bit_length(), max(1, len(order_of_ids).bit_length())
+    if len(text).bit_length() + low + bits <= 64:
+        keys = (ranks[at].astype(U) << U(low)) | owner.astype(U)
+        keys = np.sort((keys << U(bits)) | np.arange(len(at), dtype=U))
+        order = (keys & U((1 << bits) - 1)).astype(np.int64)
+    else:
+        order = np.lexsort((owner, ranks[at]))
+    rank, owner = ranks[at[order]], owner[order]
+    new = np.concatenate([[True], rank[1:] != rank[:-1]])
     found = np.empty(len(at), dtype=bool)
-    found[order] = owner[order] > lowest
+    found[order] = owner > owner[np.flatnonzero(new)][np.cumsum(new) - 1]
     return found
 
 
 def _settled(text, begins, counts, prints, ids) -> np.ndarray:
-    """``earlier`` for segments in the order of their prints, some prints at a time."""
+    """``earlier`` for segments that follow each other in ``text``, ordered by their prints.
+
+    Of equal segments the one with the smallest id stands for all, and the rest of
+    later documents is found as a whole. Suffixes are sorted where a print has several
+    different segments, some prints at a time.
+    """
+    if not len(counts):
+        return np.zeros(0, dtype=bool)
+    hashes = arrays.range_hashes(text, begins, begins + counts + LENGTH - 1)
+    order = np.lexsort((ids, hashes, prints))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (np.diff(prints[order]) != 0) | (hashes[order][1:] != hashes[order][:-1])
+    stands = np.empty(len(order), dtype=np.int64)
+    stands[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    chosen = np.sort(order[new])
+    own = prints[chosen]
+    edges = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1], [True]]))
+    several = np.repeat(np.diff(edges) > 1, np.diff(edges))
+    chosen = chosen[several]
+    before = np.cumsum(counts) - counts
+    first = np.zeros(int(counts.sum()), dtype=bool)
+    if len(chosen):
+        part, at = _gathered(text, begins[chosen], counts[chosen])
+        sorted_part = _sorted_by_print(part, at, counts[chosen], prints[chosen], ids[chosen])
+        first[_runs_of(before[chosen], counts[chosen])] = sorted_part
+    found = first[_runs_of(before[stands], counts)]
+    return found | np.repeat(ids > ids[stands], counts)
+
+
+def _runs_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``lengths`` of them."""
+    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
+
+
+def _sorted_by_print(text, begins, counts, prints, ids) -> np.ndarray:
     found = []
-    cuts = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])) if len(prints) else np.zeros(0, np.int64)
+    cuts = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
     ends = np.concatenate([begins, [len(text)]])
+    stops = ends[np.append(cuts[1:], len(prints))]
     low = 0
     while low < len(cuts):
         # As many whole prints as fit, one at least.
-        limit = ends[cuts[low]] + SORT_BYTES
-        high = max(low + 1, int(np.searchsorted(ends[np.append(cuts[1:], len(prints))], limit, "right")))
+        high = max(low + 1, int(np.searchsorted(stops, ends[cuts[low]] + SORT_BYTES, "right")))
         a, b = cuts[low], cuts[high] if high < len(cuts) else len(prints)
         found.append(earlier(text[ends[a] : ends[b]], begins[a:b] - ends[a], counts[a:b], ids[a:b]))
         low = high
-    return np.concatenate([*found, np.zeros(0, dtype=bool)])
+    return np.concatenate(found)
 
 
 def _pieces_left(found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,7 +265,7 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
             order = np.argsort(bucket, kind="stable")
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
             told = [
-                {"bucket": int(bucket[x[0]]), "prints": _bytes(prints[x] >> U(32), "<u4")}
+                {"bucket": int(bucket[x[0]]), "prints": _packed(np.unique(prints[x] >> U(32)))}
                 for x in np.split(order, cuts[1:])
                 if len(x)
             ]
@@ -246,7 +295,7 @@ def _unpacked(pack: pa.Table) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 def _shared(group: pa.Table) -> pa.Table:
     """Per pack, the prints of this bucket that other packs have too, and the hot ones."""
-    prints = [_values(p, "<u4") for p in group["prints"].to_pylist()]
+    prints = [_unpacked_prints(p) for p in group["prints"].to_pylist()]
     values, counts = np.unique(np.concatenate(prints), return_counts=True)
     several, hot = values[counts > 1], values[counts > HOT_PACKS]
     out = [np.intersect1d(p, several, assume_unique=True) for p in prints]
@@ -254,8 +303,8 @@ def _shared(group: pa.Table) -> pa.Table:
         {
             "pack": group["pack"],
             "bucket": group["bucket"],
-            "prints": pa.array([_bytes(o, "<u4") for o in out], pa.binary()),
-            "hot": pa.array([_bytes(np.intersect1d(o, hot, assume_unique=True), "<u4") for o in out], pa.binary()),
+            "prints": pa.array([_packed(o) for o in out], pa.binary()),
+            "hot": pa.array([_packed(np.intersect1d(o, hot, assume_unique=True)) for o in out], pa.binary()),
         }
     )
 
@@ -308,16 +357,15 @@ def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
     if len(here):
         text, begins = _gathered(runs.buffer, runs.starts[here], runs.counts[here])
         settled = _settled(text, begins, runs.counts[here], runs.prints[here], owner[here])
-        places = np.repeat(before[here] - (np.cumsum(runs.counts[here]) - runs.counts[here]), runs.counts[here])
-        found[places + np.arange(len(places))] = settled
+        found[_runs_of(before[here], runs.counts[here])] = settled
         rows.append(_covered_row(number, *_covered(settled, runs.counts[here], runs.docs[here], runs.at[here])))
     # Of the minimizers that other packs have, the passages that are still open.
     bucket = (runs.prints % U(buckets)).astype(np.int64)
     code = (bucket.astype(U) << U(32)) | (runs.prints >> U(32))
     told, hot = [np.zeros(0, U)], [np.zeros(0, U)]
     for b, p, h in zip(shared["bucket"].to_pylist(), shared["prints"].to_pylist(), shared["hot"].to_pylist(), strict=True):
-        told.append((U(b) << U(32)) | _values(p, "<u4").astype(U))
-        hot.append((U(b) << U(32)) | _values(h, "<u4").astype(U))
+        told.append((U(b) << U(32)) | _unpacked_prints(p).astype(U))
+        hot.append((U(b) << U(32)) | _unpacked_prints(h).astype(U))
     travels = np.isin(code, np.concatenate(told))
     is_hot = np.isin(code, np.concatenate(hot))
     segment, at, count = _pieces_left(found | ~np.repeat(travels, runs.counts), runs.counts)
@@ -339,8 +387,14 @@ def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
     return _segment_table(rows)
 
 
-def _decide(group: pa.Table, rest: bool) -> pa.Table:
-    """Covered passages of the segments of one bucket; with ``rest``, also what is left."""
+def _decide(group: pa.Table) -> pa.Table:
+    """Covered passages of the segments of one bucket; of hot ones, also what is left.
+
+    What packs have settled by themselves passes through.
+    """
+    if group["bucket"][0].as_py() < 0:
+        return group.select(_segment_table([]).column_names)
+    rest = group["hot"][0].as_py()
     unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
     parts = {n: [_values(v, k) for v in group[n].to_pylist()] for n, k in (("prints", "<u4"), ("ids", "<i8"), ("docs", "<i4"), ("starts", "<i8"), ("counts", "<i4"))}
     sizes = [int(c.sum()) + len(c) * (LENGTH - 1) for c in parts["counts"]]
@@ -440,13 +494,13 @@ def without_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_c
     segments = texts.groupBy("pack").cogroup(shared.groupBy("pack")).applyInArrow(
         lambda pack, told: _segments(pack, told, buckets), _SEGMENTS
     )
-    segments = stored(segments, "segments")
-    hot = segments.where("bucket >= 0 AND hot").withColumn("part", (F.col("pack") % groups).cast("int"))
-    hot = hot.groupBy("bucket", "part").applyInArrow(lambda group: _decide(group, True), _SEGMENTS)
-    hot = stored(hot, "hot")
-    rest = segments.where("bucket >= 0 AND NOT hot").unionByName(hot.where("bucket >= 0"))
-    decided = rest.groupBy("bucket").applyInArrow(lambda group: _decide(group, False), _SEGMENTS)
-    covered = segments.where("bucket < 0").unionByName(hot.where("bucket < 0")).unionByName(decided)
+    # Cold minimizers are decided at once; hot ones among packs that share a part number.
+    part = F.when(F.col("bucket") < 0, F.col("pack")).when(F.col("hot"), F.col("pack") % groups).otherwise(0)
+    segments = segments.withColumn("part", part)
+    decided = segments.groupBy("bucket", "hot", "part").applyInArrow(_decide, _SEGMENTS)
+    decided = stored(decided, "decided")
+    rest = decided.where("bucket >= 0").groupBy("bucket").applyInArrow(_decide, _SEGMENTS)
+    covered = decided.where("bucket < 0").unionByName(rest)
     covered = covered.select("pack", "docs", "starts", "counts")
     result = texts.groupBy("pack").cogroup(covered.groupBy("pack")).applyInArrow(_removed, _RESULT)
     return result.withColumnRenamed("id", id_column)
