@@ -13,7 +13,7 @@ leave, as they have met everybody, and so does each member of which the triangle
 inequality of the Jaccard distance says that nobody left can be like it and
 unlike its hub. The rest meets new hubs, those nearest to the last hub first,
 since a common original is near to all its copies. What is still undecided is
-dealt out anew by keys of two bands, and meets hubs twice more. A link is lost
+dealt out anew by keys of two bands, and meets hubs once more. A link is lost
 only if every key that its two texts share also holds several others that are
 like neither of them; texts that share what is common to many alone, and differ
 from each other, do so by chance in few of their keys.
@@ -21,7 +21,6 @@ from each other, do so by chance in few of their keys.
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,15 +34,11 @@ from pavilion.llm.components import components
 from pavilion.llm.storage import stored
 from pavilion.llm.workers import mapped
 
-log = logging.getLogger(__name__)
-
 SHINGLE_WORDS = 5
 # 28 bands of 6 bins: a pair at a similarity of 0.85 shares no band with a
 # probability of (1 - 0.85**6)**28 = 2e-6, one at 0.3 is a candidate with 2 %.
 BANDS, ROWS = 28, 6
 BINS = BANDS * ROWS
-# Hubs per bucket in each step, and the step after which keys span two bands.
-HUBS, LONGER_AFTER = (1, 2, 1, 2), 2
 
 
 def shingle_hashes(texts: list[bytes], words: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -195,7 +190,7 @@ def _undecided(open_: DataFrame, hubs: DataFrame, seen: DataFrame, margin: float
     )
 
 
-def _grouped(open_: DataFrame, groups: DataFrame) -> DataFrame:
+def _mixed(open_: DataFrame, groups: DataFrame) -> DataFrame:
     """Members with their component so far, in buckets that hold several components."""
     named = open_.join(groups.withColumnRenamed("node", "id"), "id", "left")
     named = stored(named.withColumn("component", F.coalesce("component", "id")), "open")
@@ -203,58 +198,62 @@ def _grouped(open_: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(stored(mixed.where("low < high").select("bucket"), "mixed"), "bucket", "left_semi")
 
 
+def _met(open_: DataFrame, count: int) -> DataFrame:
+    """Members of other components with each of the ``count`` first members of their bucket."""
+    open_ = stored(open_, "open")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("near", "id"))
+    hubs = open_.withColumn("place", place).where(F.col("place") <= count)
+    hubs = stored(
+        hubs.select("bucket", F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("component").alias("with")), "hubs"
+    )
+    met = open_.join(hubs, "bucket").where("id != hub AND component != with")
+    return met.select("bucket", "id", "n", "hub", "hn")
+
+
 def _longer_keys(classes: DataFrame, open_: DataFrame) -> DataFrame:
     """Members of ``open_`` under keys of two bands each: every band and its next three."""
-    ids = open_.select("id").distinct()
+    ids = open_.select("id", "component").distinct()
     key = lambda i, step: F.xxhash64(F.get("bands", i), F.get("bands", (i + step) % BANDS))
     pairs = [F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i, s=s: key(i, s)) for s in (1, 2, 3)]
     return (
-        classes.join(stored(ids, "ids"), "id", "left_semi")
-        .select("id", "n", F.explode(F.concat(*pairs)).alias("bucket"))
+        classes.join(ids, "id")
+        .select("id", "n", "component", F.explode(F.concat(*pairs)).alias("bucket"))
         .withColumn("near", F.lit(1.0))
     )
 
 
 def _linked(documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """``node``, ``component`` of the linked ``classes`` (id, n, d1, bands)."""
+    union = F.col("an") + F.col("bn") - F.col("both")
+    alike = F.col("both") * 100 >= union * percent
     members = classes.select("id", "n", F.explode("bands").alias("bucket"))
     first = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("hub"), F.count("*").alias("size"))
     hubs = first.where("size > 1").select("bucket", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hn"))
-    hubs = stored(hubs, "hubs")
-    open_ = stored(members.join(hubs.select("bucket"), "bucket", "left_semi"), "open")
-    wanted = classes.select("id", "d1").join(open_.select("id").distinct(), "id", "left_semi")
+    met = stored(members.join(stored(hubs, "hubs"), "bucket"), "members")
+    wanted = classes.select("id", "d1").join(met.select("id").distinct(), "id", "left_semi")
     texts = documents.join(wanted, "id").select("id", "d1", "text").distinct()
     sets = stored(mapped(texts, _sets, "id long, shingles array<long>"), "sets")
 
-    met, links = open_.join(hubs, "bucket").where("id != hub"), None
-    for step, count in enumerate(HUBS, 1):
-        met = stored(met, "met")
-        pairs = _pairs(met, percent)
-        if links is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        tested = stored(_tested(pairs, sets), "tested")
-        known = tested if links is None else known.unionByName(tested)
-        union = F.col("an") + F.col("bn") - F.col("both")
-        links = known.where(F.col("both") * 100 >= union * percent).select("a", "b")
-        groups = stored(components(links), "groups")
-        if step == len(HUBS):
-            break
-        seen = stored(_measured(met, known, percent), "seen")
-        open_ = _undecided(open_, hubs, seen, 1 - percent / 100)
-        open_ = stored(_grouped(open_, groups), "open")
-        if open_.isEmpty():
-            break
-        if step == LONGER_AFTER:
-            open_ = stored(_grouped(_longer_keys(classes, open_), groups), "open")
-        log.info("step %s leaves buckets of several components open", step)
-        place = F.row_number().over(Window.partitionBy("bucket").orderBy("near", "id"))
-        hubs = open_.withColumn("place", place).where(F.col("place") <= HUBS[step])
-        hubs = stored(
-            hubs.select("bucket", F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("component").alias("with")),
-            "hubs",
-        )
-        met = open_.join(hubs, "bucket").where("id != hub AND component != with").drop("component", "with", "near")
-    return groups
+    # Step 1: everybody meets the smallest id of the bucket.
+    open_, met = met.select("bucket", "id", "n"), met.where("id != hub")
+    tested = stored(_tested(_pairs(met, percent), sets), "tested")
+    links = tested.where(alike).select("a", "b")
+    seen = stored(_measured(met, tested, percent), "seen")
+    left = _undecided(open_, hubs, seen, 1 - percent / 100)
+    below = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
+    open_ = stored(_mixed(left, stored(below, "below")), "open")
+    # Step 2: those who are left meet the members nearest to it.
+    pairs = _pairs(_met(open_, 2), percent).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+    tested = stored(_tested(pairs, sets), "tested")
+    links = links.union(tested.where(alike).select("a", "b"))
+    groups = stored(components(links), "groups")
+    # Step 3: members of buckets that are still mixed meet under longer keys.
+    open_ = open_.select("bucket", "id", "n")
+    open_ = stored(_longer_keys(classes, stored(_mixed(open_, groups), "open")), "longer")
+    tested = stored(_tested(_pairs(_met(open_, 2), percent), sets), "tested")
+    more = tested.where(alike).select("a", "b")
+    stars = groups.where("node > component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.union(more))
 
 
 def near_duplicates(
