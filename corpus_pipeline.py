@@ -38,8 +38,7 @@ def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of all documents (little-endian unsigned 32-bit), and whether decoding gives the text."""
-    tokens, ids = byte_pairs.encoded(docs, tokenizer_path())
-    back, text = byte_pairs.decoded(tokens, tokenizer_path(), ids)
+    back, ids, text = byte_pairs.round_trip(docs, tokenizer_path())
     same = F.coalesce("text", F.lit("")) == F.col(text)
     return back.select(
         "doc_id", "lang", "source", byte_pairs.id_count(ids).alias("n_tokens"), F.col(ids).alias("ids"),

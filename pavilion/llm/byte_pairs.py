@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,7 +30,7 @@ from pavilion.llm import arrays, workers
 from pavilion.llm.storage import fresh
 
 _LETTER, _NUMBER, _OTHER, _SPACE, _END, _UNKNOWN = range(6)
-_REMEMBERED_WORDS = 200_000
+_REMEMBERED_WORDS, _REMEMBERED_PAIRS = 500_000, 400_000
 
 
 @lru_cache(maxsize=1)
@@ -142,18 +143,51 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.single = {t: i for i, t in enumerate(vocabulary.tokens) if len(t) == 1}
-        # Tokens by their bytes from the end: [token or None, next nodes].
-        self.endings: list = [None, {}]
         plain = {*range(len(vocabulary.tokens))} - {*vocabulary.special.values()}
-        for i in sorted(plain):
-            token = vocabulary.tokens[i]
-            if token and self.merged(token) == [i]:
-                node = self.endings
-                for byte in reversed(token):
-                    node = node[1].setdefault(byte, [None, {}])
-                node[0] = i
+        self._build([i for i in sorted(plain) if vocabulary.tokens[i] and self.merged(vocabulary.tokens[i]) == [i]])
         self.follows: dict[int, bool] = {}
-        self.known: dict[bytes, np.ndarray] = {}
+        self._forget_words()
+
+    def _forget_words(self) -> None:
+        # A word's tokens are flat[begins[i] : begins[i + 1]], for its place i.
+        self.places: dict[bytes, int] = {}
+        self.flat, self.begins = array("I"), array("q", [0])
+
+    def _build(self, tokens: list[int]) -> None:
+        """An automaton whose state is the longest token beginning that the bytes so far end in.
+
+        ``ends`` has the token that a state spells, or -1; ``shorter`` the state of the
+        next shorter ending that is a token.
+        """
+        self.go: dict[int, int] = {}
+        self.ends, children = [-1], [[]]
+        for token in tokens:
+            state = 0
+            for byte in self.vocabulary.tokens[token]:
+                key = state << 8 | byte
+                if key not in self.go:
+                    self.go[key] = len(self.ends)
+                    self.ends.append(-1)
+                    children.append([])
+                    children[state].append((byte, self.go[key]))
+                state = self.go[key]
+            self.ends[state] = token
+        self.fall = [0] * len(self.ends)
+        self.shorter = [0] * len(self.ends)
+        queue = [child for _, child in children[0]]
+        for state in queue:
+            back = self.fall[state]
+            self.shorter[state] = back if self.ends[back] >= 0 else self.shorter[back]
+            for byte, child in children[state]:
+                self.fall[child] = self._step(back, byte)
+                queue.append(child)
+
+    def _step(self, state: int, byte: int) -> int:
+        while True:
+            after = self.go.get(state << 8 | byte)
+            if after is not None or not state:
+                return after or 0
+            state = self.fall[state]
 
     def merged(self, text: bytes) -> list[int]:
         """The encoding by its definition: merge the best-ranked pair until none is left."""
@@ -170,51 +204,71 @@ class Encoder:
             parts[i : i + 2] = [merges[parts[i], parts[i + 1]][1]]
         return parts
 
-    def may_follow(self, first: int, second: int) -> bool:
-        """True if the two tokens stay apart when their bytes are encoded together."""
-        key = first << 32 | second
-        known = self.follows.get(key)
-        if known is None:
-            tokens = self.vocabulary.tokens
-            known = self.follows[key] = self.merged(tokens[first] + tokens[second]) == [first, second]
-        return known
-
-    def _last_token(self, word: bytes, end: int, last: list[int]) -> int:
-        """The last token of the encoding of ``word[:end]``; ``last`` has the shorter prefixes'."""
-        node, candidates = self.endings, []
-        for at in range(end - 1, -1, -1):
-            node = node[1].get(word[at])
-            if node is None:
-                break
-            if node[0] is not None:
-                candidates.append((node[0], at))
-        for token, at in reversed(candidates):
-            if not at or self.may_follow(last[at], token):
-                return token
-        raise ValueError(f"no token ends the word {word[:end]!r}")
-
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """The tokens of each word."""
-        new = sorted({w for w in words if w not in self.known})
-        if len(self.known) + len(new) > _REMEMBERED_WORDS:
-            self.known = {}
-            new = sorted(set(words))
-        # In sorted order a word follows those it shares most with: the path from
-        # the root of the trie to it is kept, with the last token at each node.
-        path, last, tokens = b"", [-1], self.vocabulary.tokens
+    def _learn(self, key: int) -> bool:
+        """Do the two tokens of ``key`` stay apart when their bytes are encoded together?"""
+        if len(self.follows) >= _REMEMBERED_PAIRS:
+            self.follows.clear()
+        first, second = key >> 32, key & 0xFFFFFFFF
+        tokens = self.vocabulary.tokens
+        apart = self.follows[key] = self.merged(tokens[first] + tokens[second]) == [first, second]
+        return apart
+
+    def _walk(self, new: list[bytes]) -> None:
+        """Encode sorted words: a depth-first walk of their trie.
+
+        In sorted order a word follows those it shares most with. The path from the
+        root to it is kept, with the automaton's state and the last token at each node.
+        """
+        go, fall, ends, shorter, follows = self.go, self.fall, self.ends, self.shorter, self.follows
+        sizes = [len(t) for t in self.vocabulary.tokens]
+        path, states, last = b"", [0], [-1]
         for word in new:
             shared, most = 0, min(len(path), len(word))
             while shared < most and path[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
             for end in range(shared + 1, len(word) + 1):
-                last.append(self._last_token(word, end, last))
+                byte = word[end - 1]
+                after = go.get(state << 8 | byte)
+                while after is None and state:
+                    state = fall[state]
+                    after = go.get(state << 8 | byte)
+                state = after or 0
+                # Of the tokens that end here, longest first, the one that may follow.
+                at = state if ends[state] >= 0 else shorter[state]
+                while True:
+                    token = ends[at]
+                    if token < 0:
+                        raise ValueError(f"no token ends the word {word[:end]!r}")
+                    before = end - sizes[token]
+                    if not before:
+                        break
+                    key = last[before] << 32 | token
+                    apart = follows.get(key)
+                    if apart if apart is not None else self._learn(key):
+                        break
+                    at = shorter[at]
+                states.append(state)
+                last.append(token)
             path, back, end = word, [], len(word)
             while end:
                 back.append(last[end])
-                end -= len(tokens[last[end]])
-            self.known[word] = np.array(back[::-1], dtype=np.uint32)
-        return [self.known[w] for w in words]
+                end -= sizes[last[end]]
+            self.places[word] = len(self.begins) - 1
+            self.flat.extend(back[::-1])
+            self.begins.append(len(self.flat))
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all known words, and where those of each of ``words`` begin and how many they are."""
+        new = sorted({w for w in words if w not in self.places})
+        if len(self.places) + len(new) > _REMEMBERED_WORDS and self.places:
+            self._forget_words()
+            new = sorted(set(words))
+        self._walk(new)
+        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        begins = np.array(self.begins, dtype=np.int64)
+        return np.array(self.flat, dtype=np.uint32), begins[places], (begins[1:] - begins[:-1])[places]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -269,10 +323,8 @@ def encode_texts(encoder: Encoder, texts: list[str]) -> list[np.ndarray]:
     hashes = arrays.range_hashes(np.frombuffer(raw, dtype=np.uint8), begin, end)
     _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
     words = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
-    known = encoder.encode(words)
-    sizes = np.array([len(k) for k in known], dtype=np.int64)
-    flat = np.concatenate([*known, np.zeros(0, dtype=np.uint32)])
-    ids = _runs(flat, (np.cumsum(sizes) - sizes)[which], sizes[which])
+    flat, places, sizes = encoder.encode(words)
+    ids = _runs(flat, places[which], sizes[which])
     # Number of ids up to each piece's end.
     up_to = np.concatenate([[0], np.cumsum(sizes[which])])
     cuts = up_to[np.searchsorted(starts[keep], ends)]
@@ -344,6 +396,15 @@ def decoded(df: DataFrame, tokenizer: str, ids_column: str = "ids") -> tuple[Dat
     return workers.mapped(df, _decode(Vocabulary(tokenizer), ids_column, name), schema), name
 
 
+def round_trip(docs: DataFrame, tokenizer: str, text_column: str = "text") -> tuple[DataFrame, str, str]:
+    """:func:`encoded`, then :func:`decoded`, by one Python process per task; the names of both columns."""
+    vocabulary, (ids, text) = Vocabulary(tokenizer), fresh(docs, "ids", "decoded")
+    encode, decode = _encode(vocabulary, text_column, ids), _decode(vocabulary, ids, text)
+    fields = [T.StructField(ids, T.BinaryType()), T.StructField(text, T.StringType())]
+    schema = T.StructType([*docs.schema.fields, *fields])
+    return workers.mapped(docs, lambda batches: decode(encode(batches)), schema), ids, text
+
+
 def id_count(ids_column: str):
     """Number of ids, as a column."""
     return F.floor(F.octet_length(F.col(ids_column)) / 4)

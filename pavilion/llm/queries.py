@@ -108,8 +108,7 @@ def tokenizer_path() -> str:
 def op7_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` encoded and decoded again."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    tokens, ids = byte_pairs.encoded(docs, tokenizer_path())
-    back, text = byte_pairs.decoded(tokens.drop("text"), tokenizer_path(), ids)
+    back, ids, text = byte_pairs.round_trip(docs, tokenizer_path())
     return back.select(
         "doc_id",
         byte_pairs.id_count(ids).alias("n_tokens"),
