@@ -37,6 +37,7 @@ GRAM = 24
 REACH = LENGTH - GRAM + 1
 # Texts longer than this are worked on in pieces that overlap by LENGTH - 1 bytes.
 PIECE_BYTES = 1 << 20
+PACK_BYTES = 1 << 21
 # A minimizer in more packs than this is settled in two steps.
 HOT_PACKS = 32
 # Bytes sorted at a time, where a minimizer does not need more.
@@ -214,6 +215,21 @@ def _settled(text, begins, counts, prints, ids) -> np.ndarray:
     return found | np.repeat(ids > ids[stands], counts)
 
 
+def _settled_in_parts(text, begins, counts, prints, ids) -> np.ndarray:
+    """``_settled`` for segments anywhere in ``text``, ordered by their prints, some at a time."""
+    found = [np.zeros(0, dtype=bool)]
+    ends = np.cumsum(counts + LENGTH - 1)
+    low = 0
+    while low < len(prints):
+        high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PIECE_BYTES, "right"))
+        # Up to the end of a print.
+        high = int(np.searchsorted(prints, prints[min(max(low, high - 1), len(prints) - 1)], "right"))
+        part, at = _gathered(text, begins[low:high], counts[low:high])
+        found.append(_settled(part, at, counts[low:high], prints[low:high], ids[low:high]))
+        low = high
+    return np.concatenate(found)
+
+
 def _runs_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers from each start on, ``lengths`` of them."""
     return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
@@ -255,10 +271,7 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
     press = zstandard.ZstdCompressor(level=3)
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
-        texts = arrays.texts_of(batch["text"])
-        ids = batch["id"]
-        for begin, end in arrays.slices(texts):
-            part = texts[begin:end]
+        for rows, part in arrays.parts(batch, "text", PACK_BYTES):
             # Whole copies inside a pack have the same minimizers; one will do.
             prints = np.unique(Runs(list(dict.fromkeys(part))).prints)
             bucket = (prints % U(buckets)).astype(np.int64)
@@ -270,8 +283,8 @@ def _pack(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
                 if len(x)
             ]
             kind = pa.list_(pa.struct([("bucket", pa.int32()), ("prints", pa.binary())]))
-            known = ids[begin:end].is_valid().to_numpy(zero_copy_only=False)
-            numbers = ids[begin:end].fill_null(0).to_numpy()
+            known = rows["id"].is_valid().to_numpy(zero_copy_only=False)
+            numbers = rows["id"].fill_null(0).to_numpy()
             yield workers.batch(
                 pack=pa.array([number], pa.int64()),
                 ids=pa.array([_bytes(numbers, "<i8") + _bytes(known, "u1")], pa.binary()),
@@ -406,8 +419,7 @@ def _decide(group: pa.Table) -> pa.Table:
     order = np.argsort(prints, kind="stable")
     begins = (np.cumsum(lengths) - lengths)[order]
     prints, ids, docs, starts, counts, row = (v[order] for v in (prints, ids, docs, starts, counts, row))
-    text, begins = _gathered(text, begins, counts)
-    found = _settled(text, begins, counts, prints, ids)
+    found = _settled_in_parts(text, begins, counts, prints, ids)
     segment, first, number = _pieces_left(~found, counts)
     rows = []
     for r, x in _by(row[segment]):
