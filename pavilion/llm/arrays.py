@@ -10,8 +10,9 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1_000_000
 U = np.uint64
 
 # Bytes that separate words: space and 0x09 to 0x0D.
@@ -30,16 +31,16 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``limit`` bytes."""
+def parts(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Consecutive rows of ``batch`` with about ``limit`` bytes in ``column``, and these texts."""
+    sizes = pc.binary_length(batch[column]).fill_null(0).to_numpy(zero_copy_only=False).tolist()
     start = size = 0
-    for i, text in enumerate(texts):
-        if i > start and size + len(text) > limit:
-            yield start, i
+    for i, length in enumerate([*sizes, limit + 1]):
+        if i > start and size + length > limit:
+            part = batch.slice(start, i - start)
+            yield part, texts_of(part[column])
             start, size = i, 0
-        size += len(text)
-    if texts:
-        yield start, len(texts)
+        size += length
 
 
 def joined(texts: list[bytes], separator: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:

@@ -30,7 +30,7 @@ from pavilion.llm import arrays, workers
 from pavilion.llm.storage import fresh
 
 _LETTER, _NUMBER, _OTHER, _SPACE, _END, _UNKNOWN = range(6)
-_REMEMBERED_WORDS, _REMEMBERED_PAIRS = 500_000, 400_000
+_REMEMBERED_WORDS, _REMEMBERED_PAIRS = 300_000, 200_000
 
 
 @lru_cache(maxsize=1)
@@ -146,9 +146,10 @@ class Encoder:
         plain = {*range(len(vocabulary.tokens))} - {*vocabulary.special.values()}
         self._build([i for i in sorted(plain) if vocabulary.tokens[i] and self.merged(vocabulary.tokens[i]) == [i]])
         self.follows: dict[int, bool] = {}
-        self._forget_words()
+        self.forget_words()
 
-    def _forget_words(self) -> None:
+    def forget_words(self) -> None:
+        """Give up the memory for words."""
         # A word's tokens are flat[begins[i] : begins[i + 1]], for its place i.
         self.places: dict[bytes, int] = {}
         self.flat, self.begins = array("I"), array("q", [0])
@@ -263,7 +264,7 @@ class Encoder:
         """Tokens of all known words, and where those of each of ``words`` begin and how many they are."""
         new = sorted({w for w in words if w not in self.places})
         if len(self.places) + len(new) > _REMEMBERED_WORDS and self.places:
-            self._forget_words()
+            self.forget_words()
             new = sorted(set(words))
         self._walk(new)
         places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
@@ -341,13 +342,16 @@ def encode_texts(encoder: Encoder, texts: list[str]) -> list[np.ndarray]:
 def _encode(vocabulary: Vocabulary, text: str, ids: str) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary)
-        for batch in batches:
-            texts = arrays.texts_of(batch[text])
-            for begin, end in arrays.slices(texts):
-                found = encode_texts(encoder, [t.decode() for t in texts[begin:end]])
-                part = batch.slice(begin, end - begin)
-                columns = {n: part[n] for n in part.schema.names}
-                yield workers.batch(**columns, **{ids: pa.array([f.astype("<u4").tobytes() for f in found], pa.binary())})
+        try:
+            for batch in batches:
+                for part, texts in arrays.parts(batch, text):
+                    found = encode_texts(encoder, [t.decode() for t in texts])
+                    columns = {n: part[n] for n in part.schema.names}
+                    packed = pa.array([f.astype("<u4").tobytes() for f in found], pa.binary())
+                    yield workers.batch(**columns, **{ids: packed})
+        finally:
+            # The process goes on to other tasks, perhaps of other kinds.
+            encoder.forget_words()
 
     return encode
 
@@ -358,14 +362,12 @@ def _decode(vocabulary: Vocabulary, ids: str, text: str) -> Callable:
         sizes = np.array([len(t) for t in tokens], dtype=np.int64)
         flat, places = np.frombuffer(b"".join(tokens), dtype=np.uint8), np.cumsum(sizes) - sizes
         for batch in batches:
-            packed = [p or b"" for p in batch[ids].to_pylist()]
-            for begin, end in arrays.slices(packed):
+            for part, packed in arrays.parts(batch, ids):
                 texts = []
-                for one in packed[begin:end]:
+                for one in packed:
                     numbers = np.frombuffer(one, dtype="<u4")
                     raw = _runs(flat, places[numbers], sizes[numbers]).tobytes()
                     texts.append(raw.decode("utf-8", errors="replace"))
-                part = batch.slice(begin, end - begin)
                 columns = {n: part[n] for n in part.schema.names}
                 yield workers.batch(**columns, **{text: pa.array(texts, pa.string())})
 

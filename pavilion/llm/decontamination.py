@@ -139,10 +139,8 @@ def _measure(block: Block, text: str, names: list[str], carried: bool) -> Callab
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = arrays.texts_of(batch[text])
-            for begin, end in arrays.slices(texts):
-                part = batch.slice(begin, end - begin)
-                first, spot, length, test = block.search(texts[begin:end])
+            for part, texts in arrays.parts(batch, text):
+                first, spot, length, test = block.search(texts)
                 window = block.lengths[block.item[test]]
                 doc = np.searchsorted(first, spot, "right") - 1
                 total = int(first[-1])
@@ -152,7 +150,7 @@ def _measure(block: Block, text: str, names: list[str], carried: bool) -> Callab
                     for i, spans in enumerate(old[names[1]]):
                         for span in spans:
                             mask[first[i] + span["start"] : first[i] + span["end"]] = True
-                rows: list[list] = [[] for _ in texts[begin:end]]
+                rows: list[list] = [[] for _ in texts]
                 spans: list[list] = [[] for _ in rows]
                 edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]])))
                 for a, b in zip(edges[0::2], edges[1::2], strict=True):

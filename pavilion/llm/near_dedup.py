@@ -102,29 +102,27 @@ def _set_sum(values: np.ndarray, salt: int) -> np.int64:
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = arrays.texts_of(batch["text"])
-        for begin, end in arrays.slices(texts):
-            sets = shingle_hashes(texts[begin:end])
+        for part, texts in arrays.parts(batch, "text"):
+            sets = shingle_hashes(texts)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
             keys = band_keys(signatures(sets)).view(np.int64)
             sums = [
                 np.array([_set_sum(s, salt) for s in sets], dtype=np.int64) for salt in (11, 12)
             ]
             bands = workers.lists(pa.array(keys.ravel()), [BANDS] * len(sets))
-            yield workers.batch(id=batch["id"][begin:end], n=sizes, d1=sums[0], d2=sums[1], bands=bands)
+            yield workers.batch(id=part["id"], n=sizes, d1=sums[0], d2=sums[1], bands=bands)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = arrays.texts_of(batch["text"])
-        for begin, end in arrays.slices(texts):
-            wanted = batch["d1"][begin:end].to_numpy()
-            sets = shingle_hashes(texts[begin:end])
+        for part, texts in arrays.parts(batch, "text"):
+            wanted = part["d1"].to_numpy()
+            sets = shingle_hashes(texts)
             own = [i for i, s in enumerate(sets) if _set_sum(s, 11) == wanted[i]]
             sets = [sets[i] for i in own]
             values = pa.array(np.concatenate([*sets, np.zeros(0, dtype=U)]).view(np.int64))
             shingles = workers.lists(values, map(len, sets))
-            ids = batch["id"][begin:end].take(pa.array(own, pa.int64()))
+            ids = part["id"].take(pa.array(own, pa.int64()))
             yield workers.batch(id=ids, shingles=shingles)
 
 

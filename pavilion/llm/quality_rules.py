@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavilion.llm import votes
-from pavilion.llm.expressions import text_statistics
-from pavilion.llm.storage import fresh, stored
+from pavilion.llm.expressions import let, text_statistics
+from pavilion.llm.storage import stored
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -86,8 +86,8 @@ def filtered(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """
     statistics = text_statistics(F.col(f"`{text_column}`"))
     model = fitted(stored(docs.select(statistics.alias("s")), "statistics"), "s")
-    (name,) = fresh(docs, "statistics")
-    chance = model.probability(rule_votes(F.col(name)))
-    known = docs.withColumn(name, statistics)
-    kept = known.where(~base_failed(F.col(name)) & (chance >= THRESHOLD))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def good(s: Column) -> Column:
+        return ~base_failed(s) & (model.probability(rule_votes(s)) >= THRESHOLD)
+
+    return docs.where(let(statistics, good))

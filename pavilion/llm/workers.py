@@ -38,7 +38,13 @@ def ship_code(spark: SparkSession) -> None:
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
     """``function`` over the Arrow batches of each partition of ``df``."""
     ship_code(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        # The process stays for other tasks; it need not keep this one's memory.
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(run, schema)
 
 
 def batch(**columns) -> pa.RecordBatch:
