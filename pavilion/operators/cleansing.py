@@ -12,12 +12,18 @@ from pavilion.functions.parsing import parsed, rejected
 def typed(raw: DataFrame, kinds: dict[str, str], required: tuple[str, ...]) -> DataFrame:
     """Cast the columns named in ``kinds`` and drop rows lacking a required one.
 
+    A required column is a key and must be exactly a whole number: cutting a fraction
+    off would merge two keys. The null check on the raw column reaches the scan.
+
     Repeated rows are still in. Anything that only asks for distinct values
     should start here: the scan then reads just the columns it needs, which a
     whole-row deduplication would prevent.
     """
-    casts = {c: parsed(F.col(c), kind) for c, kind in schemas.typed_columns(kinds).items()}
-    return with_values(raw.withColumns(casts), required)
+    casts = {
+        c: F.col(c).try_cast(kind) if c in required else parsed(F.col(c), kind)
+        for c, kind in schemas.typed_columns(kinds).items()
+    }
+    return with_values(with_values(raw, required).withColumns(casts), required)
 
 
 def with_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

@@ -183,20 +183,27 @@ def team_wins(matches: DataFrame) -> DataFrame:
 
 
 def win_loss(matches: DataFrame) -> DataFrame:
-    """Matches played, won, lost and without a result, per team.
+    """Matches played, won, lost, without a result, and won by neither side, per team.
 
-    Each match is turned into a row for either side within one scan.
+    Each match is turned into a row for either side within one scan. A match is lost
+    only if the other side won it; a winner that did not play is ``unclear``.
     """
-    won = F.col("match_winner") == F.col("team")
+    winner = F.col("match_winner")
+    sides = F.array(
+        F.struct(F.col("team1").alias("team"), F.col("team2").alias("other")),
+        F.struct(F.col("team2").alias("team"), F.col("team1").alias("other")),
+    )
+    won, lost = winner == F.col("team"), winner.eqNullSafe(F.col("other"))
     return (
-        matches.select(F.explode(F.array("team1", "team2")).alias("team"), "match_winner")
+        matches.select(F.inline(sides), "match_winner")
         .where(F.col("team").isNotNull())
         .groupBy("team")
         .agg(
             F.count("*").alias("played"),
             F.count_if(won).alias("won"),
-            F.count_if(~won).alias("lost"),
-            F.count_if(F.col("match_winner").isNull()).alias("no_result"),
+            F.count_if(winner.isNotNull() & ~won & lost).alias("lost"),
+            F.count_if(winner.isNull()).alias("no_result"),
+            F.count_if(winner.isNotNull() & ~won & ~lost).alias("unclear"),
         )
     )
 
@@ -235,7 +242,8 @@ def player_of_match(matches: DataFrame, k: int = TOP) -> DataFrame:
 def venue_scoring(fact: DataFrame, matches: DataFrame) -> DataFrame:
     """Matches with deliveries, runs and wickets per venue.
 
-    Deliveries are summed per match first: the join moves one row per match, and
+    Deliveries of unknown matches count under a null venue, so that the runs add up
+    to those of all seasons. Deliveries are summed per match first: the join moves one row per match, and
     a match with very many deliveries is an ordinary row by then.
     """
     by_match = fact.groupBy("match_id").agg(
@@ -243,7 +251,7 @@ def venue_scoring(fact: DataFrame, matches: DataFrame) -> DataFrame:
         F.sum("is_wicket").alias("wickets"),
     )
     return (
-        by_match.join(matches.select("match_id", "venue", "city"), "match_id")
+        by_match.join(matches.select("match_id", "venue", "city"), "match_id", "left")
         .groupBy("venue", "city")
         .agg(
             F.count("*").alias("matches"),

@@ -168,10 +168,11 @@ REPORTS = {
     "win_loss": """
         SELECT team, count(*) AS played,
                count(*) FILTER (WHERE match_winner = team) AS won,
-               count(*) FILTER (WHERE match_winner <> team) AS lost,
-               count(*) FILTER (WHERE match_winner IS NULL) AS no_result
-        FROM (SELECT team1 AS team, match_winner FROM dim_matches
-              UNION ALL SELECT team2, match_winner FROM dim_matches)
+               count(*) FILTER (WHERE match_winner <> team AND match_winner = other) AS lost,
+               count(*) FILTER (WHERE match_winner IS NULL) AS no_result,
+               count(*) FILTER (WHERE match_winner <> team AND match_winner IS DISTINCT FROM other) AS unclear
+        FROM (SELECT team1 AS team, team2 AS other, match_winner FROM dim_matches
+              UNION ALL SELECT team2, team1, match_winner FROM dim_matches)
         WHERE team IS NOT NULL GROUP BY team""",
     "season_top_batters": """
         SELECT season, CAST(place AS INTEGER) AS rank, batsman, total_runs
@@ -188,7 +189,7 @@ REPORTS = {
                CAST(sum(total_runs) AS BIGINT) AS total_runs,
                CAST(sum(is_wicket) AS BIGINT) AS wickets,
                round(sum(total_runs) * 100 / count(DISTINCT match_id)) / 100 AS avg_runs_per_match
-        FROM fact_deliveries JOIN dim_matches USING (match_id) GROUP BY venue, city""",
+        FROM fact_deliveries LEFT JOIN dim_matches USING (match_id) GROUP BY venue, city""",
     "runs_per_dismissal": """
         SELECT batsman, total_runs, coalesce(dismissals, 0) AS dismissals,
                round(total_runs * 100 / nullif(coalesce(dismissals, 0), 0)) / 100

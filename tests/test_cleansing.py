@@ -55,6 +55,12 @@ def test_required_keys_drop_rows(spark, raw_deliveries, raw_matches):
     assert cleansing.clean_matches(raw_matches({}, {"id": None})).count() == 1
 
 
+def test_keys_are_never_cut(spark, raw_matches):
+    """A fraction in a key would merge two matches; such a row has no key."""
+    kept = cleansing.clean_matches(raw_matches({"id": "7"}, {"id": "7.9"}, {"id": "A12"}, {"win_by_runs": "4.0"}))
+    assert sorted(r["id"] for r in kept.collect()) == [1, 7]
+
+
 def test_repeats_are_whole_rows_only(spark, raw_deliveries):
     raw = raw_deliveries({}, {}, {"ball": "2"}, {"ball": "2.0"})
     assert cleansing.clean_deliveries(raw).count() == 2

@@ -61,7 +61,11 @@ def test_thresholds(fact, rows):
 def test_team_wins_and_drawn_matches(dim, rows):
     built = dim({"winner": "A"}, {"winner": "B"}, {"winner": "B"}, {"winner": None})
     assert rows(reports.team_wins(built)) == [("B", 2), ("A", 1)]
-    assert sorted(rows(reports.win_loss(built))) == [("A", 4, 1, 2, 1), ("B", 4, 2, 1, 1)]
+    assert sorted(rows(reports.win_loss(built))) == [("A", 4, 1, 2, 1, 0), ("B", 4, 2, 1, 1, 0)]
+
+
+def test_a_winner_that_did_not_play_is_nobodys_loss(dim, rows):
+    assert sorted(rows(reports.win_loss(dim({"winner": "C"})))) == [("A", 1, 0, 0, 0, 1), ("B", 1, 0, 0, 0, 1)]
 
 
 def test_toss_impact(dim, rows):
@@ -138,7 +142,7 @@ def test_venue_scoring(fact, raw_matches, rows):
     )
     dim = dimensions.matches(cleansing.typed_matches(raw_matches(*matches)))
     assert sorted(rows(reports.venue_scoring(built, dim)), key=repr) == [
-        ("Headingley", "Leeds", 1, 3, 1, 3.0), (None, "Leeds", 1, 1, 0, 1.0),
+        ("Headingley", "Leeds", 1, 3, 1, 3.0), (None, "Leeds", 1, 1, 0, 1.0), (None, None, 1, 5, 0, 5.0),
     ]
 
 
