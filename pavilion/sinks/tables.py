@@ -17,6 +17,14 @@ from pavilion.session import many_folders
 from pavilion.sinks.layout import STANDARD, Layout, arranged
 
 
+def _name(*parts: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _counted(df: DataFrame, extra: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
     # The observation sits on top of the plan, in the tasks that write: what a
     # range shuffle samples below it is not counted.
@@ -45,14 +53,14 @@ def write_parquet(
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """A database unless it exists, in ``location`` or the session's warehouse folder."""
-    where = f"LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` {where}")
+    where = f"LOCATION {_text(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)} {where}")
 
 
 def create_table(spark: SparkSession, database: str, table: str) -> None:
     """An empty table with the declared columns, unless it exists."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({schemas.ddl(table)}) USING PARQUET"
+        f"CREATE TABLE IF NOT EXISTS {_name(database, table)} ({schemas.ddl(table)}) USING PARQUET"
     )
 
 
@@ -61,7 +69,7 @@ def load_table(df: DataFrame, database: str, table: str, layout: Layout | None =
     layout = STANDARD[table] if layout is None else layout
     rows, seen = _counted(arranged(df, layout))
     with _folders(df, layout):
-        _writer(rows, layout).saveAsTable(f"`{database}`.`{table}`")
+        _writer(rows, layout).saveAsTable(_name(database, table))
     return seen.get["rows"]
 
 
@@ -70,11 +78,11 @@ def attach_table(
 ) -> None:
     """Make a written Parquet folder the content of a catalogue table, without a copy."""
     layout = STANDARD[table] if layout is None else layout
-    name = f"`{database}`.`{table}`"
-    folders = f"PARTITIONED BY (`{layout.partition}`)" if layout.partition else ""
+    name = _name(database, table)
+    folders = f"PARTITIONED BY ({_name(layout.partition)})" if layout.partition else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
-        f"CREATE TABLE {name} ({schemas.ddl(table)}) USING PARQUET {folders} LOCATION '{path}'"
+        f"CREATE TABLE {name} ({schemas.ddl(table)}) USING PARQUET {folders} LOCATION {_text(path)}"
     )
     if layout.partition:
         with many_folders(spark):
