@@ -40,13 +40,14 @@ def main() -> None:
     elif asked.stage == "transform":
         print(flow.transform(spark, places, layouts))
     elif asked.stage == "load":
-        flow.load(spark, places, layouts, asked.copy)
+        # Without a copy the tables keep the layout that they were written with.
+        print(flow.load(spark, places, layouts if asked.copy else None, asked.copy))
     elif asked.stage == "run":
         print(flow.run(spark, places, layouts, asked.copy))
     else:
         if not spark.catalog.databaseExists(places.database):
             # A catalogue that lives in the session starts out empty each time.
-            flow.load(spark, places, layouts)
+            flow.load(spark, places)
         if asked.stage == "validate":
             print(checks.validate(spark, places.database))
         else:

@@ -1,7 +1,8 @@
 """Land, transform, load, validate: the batch from raw files to checked tables.
 
-Stages hand over through storage only and replace what they write, so any of
-them can be run again.
+Stages hand over through storage only, so any of them can be run again. The tables
+of a transform lie in a folder of their own: the database keeps its content until a
+whole new set is there, whatever fails on the way.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pavilion import checks, schemas
 from pavilion.operators import cleansing
 from pavilion.plans import dimensions, facts, stats
-from pavilion.sinks import tables
+from pavilion.sinks import runs, tables
 from pavilion.sinks.layout import STANDARD, Layout
 from pavilion.sources import files
 
@@ -64,7 +65,7 @@ def land(
 def transform(
     spark: SparkSession, places: Places, layouts: dict[str, Layout] = STANDARD
 ) -> dict[str, int]:
-    """Build the seven tables in the processed zone. Returns their row counts.
+    """Build the seven tables as a new run in the processed zone. Returns their row counts.
 
     The fact is written once and the statistics are derived from the written
     fact, reading a few of its columns; the players come from the statistics.
@@ -72,13 +73,13 @@ def transform(
     key builder sorts them by ranges.
     """
     rows = {}
+    folder = f"{places.processed}/{runs.new_run()}"
 
     def write(table: str, df: DataFrame, in_order: bool = False) -> DataFrame:
         layout = Layout() if in_order else layouts[table]
-        path = f"{places.processed}/{table}"
-        rows[table] = tables.write_parquet(df, path, layout)["rows"]
+        rows[table] = tables.write_parquet(df, f"{folder}/{table}", layout)["rows"]
         log.info("wrote %s: %s rows", table, rows[table])
-        return files.read_parquet(spark, places.processed, table)
+        return files.read_parquet(spark, folder, table)
 
     raw = {name: spark.read.parquet(f"{places.raw}/{name}") for name in RAW}
     matches = cleansing.typed_matches(raw["matches"])
@@ -90,32 +91,45 @@ def transform(
     batting = write("batting_stats", stats.batting(fact))
     bowling = write("bowling_stats", stats.bowling(fact))
     write("dim_players", dimensions.players_of(batting, bowling), in_order=True)
+    runs.finish(spark, folder, rows, {table: layouts[table].partition for table in rows})
     return rows
 
 
 def load(
     spark: SparkSession,
     places: Places,
-    layouts: dict[str, Layout] = STANDARD,
+    layouts: dict[str, Layout] | None = None,
     copy: bool = False,
 ) -> dict[str, int]:
-    """Make the processed tables the content of the database.
+    """Make the newest finished run the content of the database. Returns row counts.
 
-    The processed folders already have the layout, so by default the tables are
-    put on top of them. With ``copy`` the database gets rows of its own, and the
-    number of rows loaded into each table is returned.
+    The tables are put on top of the run's folders, in the layout it was written
+    with. With ``copy`` the database gets rows of its own, in ``layouts`` or the
+    standard ones; all are written before the first table is switched. The counts
+    are those of the switched tables and must equal what the transform wrote.
     """
-    loaded = {}
+    run = runs.latest(spark, places.processed)
+    partitions = run.partitions
+    if layouts and not copy and {t: layouts[t].partition for t in STANDARD} != partitions:
+        raise ValueError(f"{run.path} has another layout; transform again, or load with copy")
     tables.create_database(spark, places.database, places.tables)
+    folder, kept_in = run.path, places.processed
+    if copy:
+        layouts = layouts or STANDARD
+        kept_in = spark.catalog.getDatabase(places.database).locationUri.rstrip("/")
+        folder = f"{kept_in}/{runs.new_run()}"
+        partitions = {table: layouts[table].partition for table in STANDARD}
+        for table in STANDARD:
+            df = files.read_parquet(spark, run.path, table)
+            rows = tables.write_parquet(df, f"{folder}/{table}", layouts[table])["rows"]
+            log.info("copied %s: %s rows", table, rows)
     for table in STANDARD:
-        if copy:
-            df = files.read_parquet(spark, places.processed, table)
-            loaded[table] = tables.load_table(df, places.database, table, layouts[table])
-            log.info("loaded %s: %s rows", table, loaded[table])
-        else:
-            path = f"{places.processed}/{table}"
-            tables.attach_table(spark, places.database, table, path, layouts[table])
-            log.info("attached %s", table)
+        layout = Layout(partitions[table])
+        tables.attach_table(spark, places.database, table, f"{folder}/{table}", layout)
+        log.info("attached %s", table)
+    loaded = checks.row_counts(spark, places.database)
+    checks.same_counts(run.rows, loaded)
+    runs.remove_older(spark, kept_in, folder.rpartition("/")[2])
     return loaded
 
 
@@ -128,5 +142,4 @@ def run(
     """All stages in order. Returns the validated row counts."""
     land(spark, places)
     transform(spark, places, layouts)
-    load(spark, places, layouts, copy)
-    return checks.validate(spark, places.database)
+    return checks.none_empty(load(spark, places, layouts, copy))

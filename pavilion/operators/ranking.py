@@ -16,18 +16,15 @@ def _first(df: DataFrame, group: list[str], k: int, order: tuple) -> DataFrame:
     return df.withColumn("rank", place).where(F.col("rank") <= k)
 
 
-def top_per_group(
-    df: DataFrame, group: str, k: int, *order: Column | str, salts: int = 32
-) -> DataFrame:
+def top_per_group(df: DataFrame, group: str, k: int, *order: Column | str) -> DataFrame:
     """First ``k`` rows of every group, with their ``rank``.
 
-    The planner turns the rank filter into a per-task limit before the shuffle,
-    so a group that holds most rows still sends at most ``k`` per task. It does
-    so up to a certain ``k``; beyond that, a group is first cut down to ``k`` in
-    each of ``salts`` parts.
+    Whatever ``k``, a group is first cut down to ``k`` in each of its parts, of which
+    there are as many as shuffle partitions, so no task sorts more than its share of
+    a group that holds most rows. For a small ``k`` the planner also limits each task
+    before both shuffles.
     """
-    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if k > limit:
-        parts = df.withColumn("salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        df = _first(parts, [group, "salt"], k, order).select(*df.columns)
-    return _first(df, [group], k, order)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.withColumn("part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+    best = _first(spread, [group, "part"], k, order).select(*df.columns)
+    return _first(best, [group], k, order)

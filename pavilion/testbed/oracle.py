@@ -218,6 +218,7 @@ CHECKS = {
     "fact_by_season": "SELECT * FROM fact_deliveries",
     "flow_batting_stats": "SELECT * FROM batting_stats",
     "flow_dim_players": "SELECT * FROM dim_players",
+    "flow_after_failure": "SELECT * FROM fact_deliveries",
 }
 
 

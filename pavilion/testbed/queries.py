@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pavilion import checks, flow, schemas
 from pavilion.operators import cleansing
@@ -204,6 +207,27 @@ def flow_dim_players(spark: SparkSession, folder: str) -> DataFrame:
     return _after_flow(spark, folder, "dim_players")
 
 
+def flow_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The fact of a first run, after a second transform that failed half-way.
+
+    The second raw zone holds fewer matches, and deliveries that lack most columns:
+    the match tables are written before the fact fails.
+    """
+    at = places(spark, folder, "flow_after_failure")
+    as_source_files(Tables(spark, folder), at)
+    flow.run(spark, at, BY_SEASON)
+    broken = replace(at, raw=f"{at.raw}-broken")
+    for name, keep in (("matches", "*"), ("deliveries", "match_id")):
+        raw = spark.read.parquet(f"{at.raw}/{name}").select(keep)
+        raw.where(~F.col(raw.columns[0]).endswith("3")).write.mode("overwrite").parquet(f"{broken.raw}/{name}")
+    try:
+        flow.transform(spark, broken, BY_SEASON)
+    except AnalysisException:
+        flow.load(spark, at)
+        return files.read_table(spark, at.database, "fact_deliveries")
+    raise AssertionError("a transform without deliveries columns did not fail")
+
+
 def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: plan(Tables(spark, folder))
 
@@ -215,4 +239,5 @@ QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
     "created_tables": created_tables,
     "flow_batting_stats": flow_batting_stats,
     "flow_dim_players": flow_dim_players,
+    "flow_after_failure": flow_after_failure,
 }

@@ -8,7 +8,7 @@ import pytest
 
 from pavilion import checks, flow, schemas
 from pavilion.plans.reports import REPORTS, report
-from pavilion.sinks import tables
+from pavilion.sinks import runs, tables
 from pavilion.sinks.layout import BY_SEASON, STANDARD
 from pavilion.sources import files
 
@@ -67,6 +67,62 @@ def test_stages_can_be_repeated_alone(spark, places):
     assert checks.validate(spark, places.database) == first
 
 
+def test_a_failed_transform_leaves_the_tables(spark, places, monkeypatch, source):
+    """Whichever table it fails at."""
+    flow.run(spark, places, BY_SEASON)
+    before = _content(spark, places.database)
+    source(MATCHES[:1], DELIVERIES[:12], places.source)
+    flow.land(spark, places)
+    write = tables.write_parquet
+    for table in schemas.TABLES:
+
+        def failing(df, path, *rest, table=table):
+            if path.endswith(f"/{table}"):
+                raise OSError("disk full")
+            return write(df, path, *rest)
+
+        with monkeypatch.context() as patch, pytest.raises(OSError, match="disk full"):
+            patch.setattr(tables, "write_parquet", failing)
+            flow.transform(spark, places, BY_SEASON)
+        assert _content(spark, places.database) == before
+    flow.load(spark, places)
+    assert _content(spark, places.database) == before
+    flow.transform(spark, places, BY_SEASON)
+    assert flow.load(spark, places)["fact_deliveries"] == 12
+
+
+def test_load_follows_the_layout_of_the_run(spark, places):
+    flow.land(spark, places)
+    written = flow.transform(spark, places, BY_SEASON)
+    with pytest.raises(ValueError, match="another layout"):
+        flow.load(spark, places, STANDARD)
+    assert flow.load(spark, places) == written
+    assert flow.load(spark, places, STANDARD, copy=True) == written
+
+
+def test_load_needs_a_finished_run(spark, places):
+    with pytest.raises(FileNotFoundError, match="no finished run"):
+        flow.load(spark, places)
+
+
+def test_older_runs_are_removed(spark, places):
+    flow.land(spark, places)
+    for _ in range(4):
+        flow.transform(spark, places)
+    flow.load(spark, places)
+    assert len(os.listdir(places.processed)) == 2
+
+
+def test_load_refuses_missing_rows(spark, places):
+    flow.land(spark, places)
+    flow.transform(spark, places)
+    path = runs.latest(spark, places.processed).path
+    teams = spark.read.parquet(f"{path}/dim_teams").limit(1).collect()
+    spark.createDataFrame(teams).write.mode("overwrite").parquet(f"{path}/dim_teams")
+    with pytest.raises(checks.WrongCount, match="dim_teams has 1 of 2 rows"):
+        flow.load(spark, places)
+
+
 def test_later_files_replace_earlier_rows(spark, places, source):
     flow.run(spark, places)
     source(MATCHES[:1], DELIVERIES[:12], places.source)
@@ -150,7 +206,7 @@ def test_without_null_words_text_is_taken_literally(spark, places, source):
     source(MATCHES[:1], [DELIVERIES[0] | {"player_dismissed": "NA"}], places.source)
     flow.land(spark, places, null_words=())
     flow.transform(spark, places)
-    assert files.read_parquet(spark, places.processed, "fact_deliveries").first()["is_wicket"] == 1
+    assert files.read_parquet(spark, runs.latest(spark, places.processed).path, "fact_deliveries").first()["is_wicket"] == 1
 
 
 def test_rejects_are_reported(spark, places, source):
@@ -168,7 +224,7 @@ def test_empty_table_fails_validation(spark, places):
         tables.create_table(spark, places.database, table)
         with pytest.raises(checks.EmptyTable, match=f"no rows in {table}$"):
             checks.validate(spark, places.database)
-        path = f"{places.processed}/{table}"
+        path = f"{runs.latest(spark, places.processed).path}/{table}"
         tables.attach_table(spark, places.database, table, path)
 
 
@@ -216,6 +272,8 @@ def test_command_line(places, tmp_path):
     assert shown.returncode == 0, shown.stderr
     assert "|A   |1   |" in shown.stdout
     assert call("report").returncode == 2
+    assert call("run", "--by-season").returncode == 0
+    assert "|A   |1   |" in call("report", "team_wins").stdout
 
 
 def test_season_folders_keep_odd_seasons(spark, places, source):
