@@ -110,16 +110,17 @@ def test_group_limit_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
-def test_large_group_limits_are_exact_and_salted(spark, conf, rows):
+def test_group_limits_of_any_size_are_exact_and_spread(spark, conf, rows):
     conf(spark__sql__optimizer__windowGroupLimitThreshold="3")
     df = spark.range(400).select((F.col("id") % 2).alias("g"), (F.col("id") % 37).alias("v"), "id")
     few, many = (top_per_group(df, "g", k, F.desc("v"), "id") for k in (3, 50))
-    assert "salt" not in plan(few) and "salt" in plan(many)
-    expected = []
-    for g in (0, 1):
-        members = sorted((-(i % 37), i) for i in range(400) if i % 2 == g)[:50]
-        expected += [(g, -v, i, place) for place, (v, i) in enumerate(members, 1)]
-    assert sorted(rows(many)) == sorted(expected)
+    assert "part" in plan(few) and "part" in plan(many)
+    for limited, k in ((few, 3), (many, 50)):
+        expected = []
+        for g in (0, 1):
+            members = sorted((-(i % 37), i) for i in range(400) if i % 2 == g)[:k]
+            expected += [(g, -v, i, place) for place, (v, i) in enumerate(members, 1)]
+        assert sorted(rows(limited)) == sorted(expected)
 
 
 def test_hot_match_is_split(spark, hot):
