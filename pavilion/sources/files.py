@@ -19,15 +19,19 @@ def read_csv(
     path: str,
     expected: dict[str, str],
     null_words: tuple[str, ...] = NULL_WORDS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Raw CSV with a header, every column as text.
 
+    A quote inside a quoted value is written twice. With ``multi_line`` quoted
+    values may hold line breaks; each file is then read by one task.
+
     Columns are found by header name, in any order, and extra ones are kept,
     since two rows that differ only there are two rows. Files whose header
     differs from the first one's are refused rather than misread.
     """
     try:
-        raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+        raw = spark.read.csv(path, header=True, enforceSchema=False, escape='"', multiLine=multi_line)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"raw file missing: {path}") from error

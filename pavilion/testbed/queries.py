@@ -147,7 +147,7 @@ def places(spark: SparkSession, folder: str, name: str) -> flow.Places:
 
 def as_source_files(t: Tables, places: flow.Places) -> None:
     for raw, name in ((t.raw_matches, "matches"), (t.raw_deliveries, "deliveries")):
-        raw.write.mode("overwrite").option("header", True).csv(f"{places.source}/{flow.RAW[name][0]}")
+        raw.write.mode("overwrite").csv(f"{places.source}/{flow.RAW[name][0]}", header=True, escape='"')
 
 
 def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:

@@ -157,6 +157,15 @@ def test_header_case_does_not_matter(spark, tmp_path):
     assert raw.columns == ["winner", "id", "Extra"]
 
 
+def test_quotes_and_line_breaks_inside_quotes(spark, tmp_path, rows):
+    kinds = {"id": "bigint", "winner": "string"}
+    (tmp_path / "q.csv").write_text('id,winner\n1,"The ""A"" side, north"\n')
+    assert rows(files.read_csv(spark, str(tmp_path / "q.csv"), kinds)) == [("1", 'The "A" side, north')]
+    (tmp_path / "b.csv").write_text('id,winner\n1,"A\nB"\n2,C\n')
+    raw = files.read_csv(spark, str(tmp_path / "b.csv"), kinds, multi_line=True)
+    assert rows(raw) == [("1", "A\nB"), ("2", "C")]
+
+
 def test_quoted_commas_survive(spark, places, source):
     path = Path(places.source, schemas.MATCHES_FILE)
     path.write_text(path.read_text().replace("Oval", '"The Oval, north end"'))
