@@ -215,19 +215,17 @@ def _settled(text, begins, counts, prints, ids) -> np.ndarray:
     return found | np.repeat(ids > ids[stands], counts)
 
 
-def _settled_in_parts(text, begins, counts, prints, ids) -> np.ndarray:
-    """``_settled`` for segments anywhere in ``text``, ordered by their prints, some at a time."""
-    found = [np.zeros(0, dtype=bool)]
-    ends = np.cumsum(counts + LENGTH - 1)
+def _parts_by_print(prints: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+    """Indices of all segments of some prints at a time, about PIECE_BYTES of text."""
+    order = np.argsort(prints, kind="stable")
+    prints, ends = prints[order], np.cumsum(lengths[order])
     low = 0
-    while low < len(prints):
+    while low < len(order):
         high = int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PIECE_BYTES, "right"))
         # Up to the end of a print.
         high = int(np.searchsorted(prints, prints[min(max(low, high - 1), len(prints) - 1)], "right"))
-        part, at = _gathered(text, begins[low:high], counts[low:high])
-        found.append(_settled(part, at, counts[low:high], prints[low:high], ids[low:high]))
+        yield order[low:high]
         low = high
-    return np.concatenate(found)
 
 
 def _runs_of(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -409,33 +407,45 @@ def _decide(group: pa.Table) -> pa.Table:
         return group.select(_segment_table([]).column_names)
     rest = group["hot"][0].as_py()
     unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-    parts = {n: [_values(v, k) for v in group[n].to_pylist()] for n, k in (("prints", "<u4"), ("ids", "<i8"), ("docs", "<i4"), ("starts", "<i8"), ("counts", "<i4"))}
-    sizes = [int(c.sum()) + len(c) * (LENGTH - 1) for c in parts["counts"]]
-    texts = [unpress.decompress(t, max_output_size=max(1, n)) for t, n in zip(group["text"].to_pylist(), sizes, strict=True)]
-    text = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    kinds = (("prints", "<u4"), ("ids", "<i8"), ("docs", "<i4"), ("starts", "<i8"), ("counts", "<i4"))
+    parts = {n: [_values(v, k) for v in group[n].to_pylist()] for n, k in kinds}
     row = np.repeat(np.arange(group.num_rows), [len(c) for c in parts["counts"]])
-    prints, ids, docs, starts, counts = (np.concatenate(parts[n]).astype(np.int64) for n in ("prints", "ids", "docs", "starts", "counts"))
-    lengths = counts + LENGTH - 1
-    order = np.argsort(prints, kind="stable")
-    begins = (np.cumsum(lengths) - lengths)[order]
-    prints, ids, docs, starts, counts, row = (v[order] for v in (prints, ids, docs, starts, counts, row))
-    found = _settled_in_parts(text, begins, counts, prints, ids)
-    segment, first, number = _pieces_left(~found, counts)
+    sizes = [int(c.sum()) + len(c) * (LENGTH - 1) for c in parts["counts"]]
+    prints, ids, docs, starts, counts = (np.concatenate(parts.pop(n)) for n, _ in kinds)
+    text, end = np.empty(sum(sizes), dtype=np.uint8), 0
+    for packed, size in zip(group["text"], sizes, strict=True):
+        raw = unpress.decompress(packed.as_py(), max_output_size=max(1, size))
+        text[end : end + size] = np.frombuffer(raw, dtype=np.uint8)
+        end += size
+    lengths = counts.astype(np.int64) + LENGTH - 1
+    begins = np.cumsum(lengths) - lengths
+    # Runs of passages, as segment, first passage in it, and number.
+    covered, left = [], []
+    for x in _parts_by_print(prints, lengths):
+        number = counts[x].astype(np.int64)
+        part, at = _gathered(text, begins[x], number)
+        found = _settled(part, at, number, prints[x].astype(np.int64), ids[x])
+        for runs, gone in ((covered, ~found), (left, found)):
+            if runs is covered or rest:
+                segment, first, many = _pieces_left(gone, number)
+                runs.append((x[segment], first, many))
     rows = []
-    for r, x in _by(row[segment]):
-        s = segment[x]
-        rows.append(_covered_row(group["pack"][r].as_py(), docs[s], starts[s] + first[x], number[x]))
-    if rest:
-        segment, first, number = _pieces_left(found, counts)
+    for runs, goes_on in ((covered, False), (left, True)):
+        if not runs:
+            continue
+        segment, first, many = (np.concatenate(v) for v in zip(*runs, strict=True))
         for r, x in _by(row[segment]):
-            s = segment[x]
-            own, _ = _gathered(text, begins[s] + first[x], number[x])
-            rows.append(
-                _segment_row(
-                    group["pack"][r].as_py(), group["bucket"][r].as_py(), False, prints[s], ids[s], docs[s],
-                    starts[s] + first[x], number[x], press.compress(own.tobytes()),
+            s, pack = segment[x], group["pack"][r].as_py()
+            if goes_on:
+                own, _ = _gathered(text, begins[s] + first[x], many[x])
+                rows.append(
+                    _segment_row(
+                        pack, group["bucket"][r].as_py(), False, prints[s], ids[s], docs[s],
+                        starts[s] + first[x], many[x], press.compress(own.tobytes()),
+                    )
                 )
-            )
+            else:
+                rows.append(_covered_row(pack, docs[s], starts[s] + first[x], many[x]))
     return _segment_table(rows)
 
 
