@@ -45,6 +45,8 @@ SORT_BYTES = 1 << 15
 
 _PACK = "pack long, ids binary, sizes binary, text binary, prints array<struct<bucket: int, prints: binary>>"
 _SEGMENTS = "pack long, bucket int, hot boolean, prints binary, ids binary, docs binary, starts binary, counts binary, text binary"
+# How the numbers of segments are stored, as compressed byte planes.
+_KINDS = {"prints": "<u4", "ids": "<i8", "docs": "<i4", "starts": "<i8", "counts": "<i4"}
 
 
 def _bytes(values, kind) -> bytes:
@@ -57,13 +59,22 @@ def _values(raw: bytes | None, kind) -> np.ndarray:
 
 def _packed(prints: np.ndarray) -> bytes:
     """Sorted 32-bit numbers as steps, byte plane by byte plane, which compresses better."""
-    steps = np.diff(prints.astype("<u4"), prepend=np.zeros(1, "<u4")).astype("<u4")
-    return steps.view("u1").reshape(-1, 4).T.tobytes()
+    return _planes(np.diff(prints.astype("<u4"), prepend=np.zeros(1, "<u4")), "<u4")
 
 
 def _unpacked_prints(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(raw, dtype="u1").reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype="<u4")
+    return np.cumsum(_of_planes(raw, "<u4"), dtype="<u4")
+
+
+def _planes(values, kind) -> bytes:
+    """Numbers byte plane by byte plane."""
+    values = np.ascontiguousarray(values, dtype=kind)
+    return values.view("u1").reshape(-1, values.itemsize).T.tobytes()
+
+
+def _of_planes(raw: bytes, kind) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype="u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _pieces(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -320,18 +331,16 @@ def _shared(group: pa.Table) -> pa.Table:
     )
 
 
-def _segment_row(pack, bucket, hot, prints, ids, docs, starts, counts, text) -> dict:
-    return {
-        "pack": pack,
-        "bucket": bucket,
-        "hot": hot,
-        "prints": _bytes(prints, "<u4"),
-        "ids": _bytes(ids, "<i8"),
-        "docs": _bytes(docs, "<i4"),
-        "starts": _bytes(starts, "<i8"),
-        "counts": _bytes(counts, "<i4"),
-        "text": text,
-    }
+def _segment_row(press, pack, bucket, hot, prints, ids, docs, starts, counts, text) -> dict:
+    numbers = zip(_KINDS.items(), (prints, ids, docs, starts, counts), strict=True)
+    stored_numbers = {name: press.compress(_planes(values, kind)) for (name, kind), values in numbers}
+    return {"pack": pack, "bucket": bucket, "hot": hot, **stored_numbers, "text": press.compress(text)}
+
+
+def _numbers(table: pa.Table, name: str) -> list[np.ndarray]:
+    """The numbers of each row of segments in a column."""
+    unpress = zstandard.ZstdDecompressor()
+    return [_of_planes(unpress.decompress(v), _KINDS[name]) for v in table[name].to_pylist()]
 
 
 def _segment_table(rows: list[dict]) -> pa.Table:
@@ -340,8 +349,8 @@ def _segment_table(rows: list[dict]) -> pa.Table:
     return pa.Table.from_pylist(rows, schema=pa.schema(kinds))
 
 
-def _covered_row(pack: int, docs, starts, counts) -> dict:
-    return _segment_row(pack, -1, False, [], [], docs, starts, counts, b"")
+def _covered_row(press, pack: int, docs, starts, counts) -> dict:
+    return _segment_row(press, pack, -1, False, [], [], docs, starts, counts, b"")
 
 
 def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
@@ -352,6 +361,7 @@ def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
     ids, known, texts = _unpacked(pack)
     runs = Runs([t if k else b"" for t, k in zip(texts, known, strict=True)])
     rows: list[dict] = []
+    press = zstandard.ZstdCompressor(level=3)
     if not len(runs.prints):
         return _segment_table(rows)
     owner = ids[runs.docs]
@@ -369,7 +379,7 @@ def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
         text, begins = _gathered(runs.buffer, runs.starts[here], runs.counts[here])
         settled = _settled(text, begins, runs.counts[here], runs.prints[here], owner[here])
         found[_runs_of(before[here], runs.counts[here])] = settled
-        rows.append(_covered_row(number, *_covered(settled, runs.counts[here], runs.docs[here], runs.at[here])))
+        rows.append(_covered_row(press, number, *_covered(settled, runs.counts[here], runs.docs[here], runs.at[here])))
     # Of the minimizers that other packs have, the passages that are still open.
     bucket = (runs.prints % U(buckets)).astype(np.int64)
     code = (bucket.astype(U) << U(32)) | (runs.prints >> U(32))
@@ -380,7 +390,6 @@ def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
     travels = np.isin(code, np.concatenate(told))
     is_hot = np.isin(code, np.concatenate(hot))
     segment, at, count = _pieces_left(found | ~np.repeat(travels, runs.counts), runs.counts)
-    press = zstandard.ZstdCompressor(level=3)
     group = bucket[segment] * 2 + is_hot[segment]
     order = np.lexsort((runs.prints[segment], group))
     cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
@@ -391,8 +400,8 @@ def _segments(pack: pa.Table, shared: pa.Table, buckets: int) -> pa.Table:
         text, _ = _gathered(runs.buffer, runs.starts[s] + at[x], count[x])
         rows.append(
             _segment_row(
-                number, int(bucket[s[0]]), bool(is_hot[s[0]]), runs.prints[s] >> U(32), owner[s], runs.docs[s],
-                runs.at[s] + at[x], count[x], press.compress(text.tobytes()),
+                press, number, int(bucket[s[0]]), bool(is_hot[s[0]]), runs.prints[s] >> U(32), owner[s], runs.docs[s],
+                runs.at[s] + at[x], count[x], text.tobytes(),
             )
         )
     return _segment_table(rows)
@@ -407,11 +416,10 @@ def _decide(group: pa.Table) -> pa.Table:
         return group.select(_segment_table([]).column_names)
     rest = group["hot"][0].as_py()
     unpress, press = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=3)
-    kinds = (("prints", "<u4"), ("ids", "<i8"), ("docs", "<i4"), ("starts", "<i8"), ("counts", "<i4"))
-    parts = {n: [_values(v, k) for v in group[n].to_pylist()] for n, k in kinds}
+    parts = {name: _numbers(group, name) for name in _KINDS}
     row = np.repeat(np.arange(group.num_rows), [len(c) for c in parts["counts"]])
     sizes = [int(c.sum()) + len(c) * (LENGTH - 1) for c in parts["counts"]]
-    prints, ids, docs, starts, counts = (np.concatenate(parts.pop(n)) for n, _ in kinds)
+    prints, ids, docs, starts, counts = (np.concatenate(parts.pop(name)) for name in _KINDS)
     text, end = np.empty(sum(sizes), dtype=np.uint8), 0
     for packed, size in zip(group["text"], sizes, strict=True):
         raw = unpress.decompress(packed.as_py(), max_output_size=max(1, size))
@@ -440,12 +448,12 @@ def _decide(group: pa.Table) -> pa.Table:
                 own, _ = _gathered(text, begins[s] + first[x], many[x])
                 rows.append(
                     _segment_row(
-                        pack, group["bucket"][r].as_py(), False, prints[s], ids[s], docs[s],
-                        starts[s] + first[x], many[x], press.compress(own.tobytes()),
+                        press, pack, group["bucket"][r].as_py(), False, prints[s], ids[s], docs[s],
+                        starts[s] + first[x], many[x], own.tobytes(),
                     )
                 )
             else:
-                rows.append(_covered_row(pack, docs[s], starts[s] + first[x], many[x]))
+                rows.append(_covered_row(press, pack, docs[s], starts[s] + first[x], many[x]))
     return _segment_table(rows)
 
 
@@ -464,9 +472,9 @@ _RESULT = "id long, n_bytes long, spans array<struct<start: long, end: long>>, k
 def _removed(pack: pa.Table, covered: pa.Table) -> pa.Table:
     """Each document of a pack with its removed spans and the bytes that are left."""
     ids, known, texts = _unpacked(pack) if pack.num_rows else ([], [], [])
-    docs = np.concatenate([np.zeros(0, np.int64), *(_values(v, "<i4") for v in covered["docs"].to_pylist())]).astype(np.int64)
-    starts = np.concatenate([np.zeros(0, np.int64), *(_values(v, "<i8") for v in covered["starts"].to_pylist())]).astype(np.int64)
-    counts = np.concatenate([np.zeros(0, np.int64), *(_values(v, "<i4") for v in covered["counts"].to_pylist())]).astype(np.int64)
+    docs, starts, counts = (
+        np.concatenate([np.zeros(0, np.int64), *_numbers(covered, name)]).astype(np.int64) for name in ("docs", "starts", "counts")
+    )
     order = np.lexsort((starts, docs))
     docs, starts, ends = docs[order], starts[order], (starts + counts + LENGTH - 1)[order]
     cuts = np.searchsorted(docs, np.arange(len(ids) + 1))
