@@ -216,8 +216,9 @@ CHECKS = {
     "csv_round_trip": "SELECT * FROM raw_deliveries",
     "table_round_trip": "SELECT * FROM dim_matches",
     "fact_by_season": "SELECT * FROM fact_deliveries",
-    "flow_batting_stats": "SELECT * FROM batting_stats",
-    "flow_dim_players": "SELECT * FROM dim_players",
+    "created_matches": "SELECT * FROM dim_matches",
+    "created_deliveries": "SELECT * FROM fact_deliveries",
+    **{f"flow_{name}": f"SELECT * FROM {name}" for name in _TABLES},
     "flow_after_failure": "SELECT * FROM fact_deliveries",
 }
 

@@ -10,9 +10,6 @@ import __spark_entry__ as contract
 FOLDER = "/root/testdata/sf0.001"
 QUERIES, SQL = dict(contract.QUERIES), contract.oracle.statements()
 
-# These write thousands of day folders even at this scale; one of them is enough.
-SLOW = {"created_tables", "table_round_trip"}
-
 
 @pytest.fixture(scope="module")
 def oracle():
@@ -24,7 +21,7 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, oracle, name):
     assert differences(QUERIES[name](spark, FOLDER), oracle, SQL[name]) == []
 
