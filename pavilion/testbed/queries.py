@@ -178,52 +178,58 @@ def fact_by_season(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_table(spark, database, "fact_deliveries")
 
 
-def _created(spark: SparkSession, folder: str, name: str) -> str:
-    """A database with the tables created from SQL, and once more from other rows, to no effect."""
-    t, database = Tables(spark, folder), _database(spark, places(spark, folder, name))
-    for table in schemas.TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
-    for matches, balls in (
-        (t.matches_as_text, t.deliveries_as_text),
-        (t.matches_as_text.where("city IS NULL"), t.deliveries_as_text.where("inning = '1'")),
-    ):
-        sql_tables.create_matches(database, matches)
-        sql_tables.create_deliveries(database, balls)
-        tables.create_table(spark, database, "dim_seasons")
-    return database
+# What has been done, by application and folder; queries of the same tables share it.
+_DONE: dict[tuple[str, str, str], str] = {}
 
 
-def created_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Row counts of the tables created from SQL."""
-    database = _created(spark, folder, "created_tables")
-    created = ("dim_matches", "fact_deliveries", "dim_seasons")
-    return checks.counts({name: files.read_table(spark, database, name) for name in created})
+def _once(spark: SparkSession, folder: str, name: str, work: Callable[[flow.Places], None]) -> str:
+    """The database of ``name``, filled by ``work`` unless this application has done so."""
+    key, at = (spark.sparkContext.applicationId, folder, name), places(spark, folder, name)
+    if key not in _DONE:
+        work(at)
+        _DONE[key] = at.database
+    return _DONE[key]
 
 
-def created_matches(spark: SparkSession, folder: str) -> DataFrame:
-    """The match dimension as created from SQL."""
-    return files.read_table(spark, _created(spark, folder, "created_matches"), "dim_matches")
+def _created(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A table created from SQL, and once more from other rows, to no effect."""
+    return lambda spark, folder: files.read_table(spark, _creation(spark, folder), table)
 
 
-def created_deliveries(spark: SparkSession, folder: str) -> DataFrame:
-    """The delivery fact as created from SQL."""
-    return files.read_table(spark, _created(spark, folder, "created_deliveries"), "fact_deliveries")
+def _creation(spark: SparkSession, folder: str) -> str:
+    t = Tables(spark, folder)
 
+    def work(at: flow.Places) -> None:
+        database = _database(spark, at)
+        for table in schemas.TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
+        for matches, balls in (
+            (t.matches_as_text, t.deliveries_as_text),
+            (t.matches_as_text.where("city IS NULL"), t.deliveries_as_text.where("inning = '1'")),
+        ):
+            sql_tables.create_matches(database, matches)
+            sql_tables.create_deliveries(database, balls)
+            tables.create_table(spark, database, "dim_seasons")
 
-# Application and folder of the flows that have been run; their queries share one.
-_FLOWS: set[tuple[str, str]] = set()
+    return _once(spark, folder, "created_tables", work)
+
+
+def created_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of the tables created from SQL."""
+    database = _creation(spark, folder)
+    created = ("dim_matches", "fact_deliveries", "dim_seasons")
+    return checks.counts({name: files.read_table(spark, database, name) for name in created})
 
 
 def _after_flow(table: str) -> Callable[[SparkSession, str], DataFrame]:
     """A table after land, transform, load and validate from CSV files, by season."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        at, run = places(spark, folder, "flow"), (spark.sparkContext.applicationId, folder)
-        if run not in _FLOWS:
+        def work(at: flow.Places) -> None:
             as_source_files(Tables(spark, folder), at)
             flow.run(spark, at, BY_SEASON)
-            _FLOWS.add(run)
-        return files.read_table(spark, at.database, table)
+
+        return files.read_table(spark, _once(spark, folder, "flow", work), table)
 
     return query
 
@@ -258,8 +264,8 @@ QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
     "table_round_trip": table_round_trip,
     "fact_by_season": fact_by_season,
     "created_tables": created_tables,
-    "created_matches": created_matches,
-    "created_deliveries": created_deliveries,
+    "created_matches": _created("dim_matches"),
+    "created_deliveries": _created("fact_deliveries"),
     "flow_after_failure": flow_after_failure,
     **{f"flow_{table}": _after_flow(table) for table in schemas.TABLES},
 }
