@@ -12,11 +12,12 @@ So buckets stay open while their members belong to several components. The hubs
 leave, as they have met everybody, and so does each member of which the triangle
 inequality of the Jaccard distance says that nobody left can be like it and
 unlike its hub. The rest meets new hubs, those nearest to the last hub first,
-since a common original is near to all its copies. What is still undecided is
-dealt out anew by keys of two bands, and meets hubs once more. A link is lost
-only if every key that its two texts share also holds several others that are
-like neither of them; texts that share what is common to many alone, and differ
-from each other, do so by chance in few of their keys.
+since a common original is near to all its copies. What is still undecided, as
+where many texts share a template and so every key, is settled exactly by rare
+shingles: of two texts that are alike, the rarest shingles of the smaller one
+have one in common with the rarest of the larger one (a prefix filter). Under
+these keys hubs are met until no key has members of different components left.
+So a link is lost only if its two texts share no band.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ SHINGLE_WORDS = 5
 # probability of (1 - 0.85**6)**28 = 2e-6, one at 0.3 is a candidate with 2 %.
 BANDS, ROWS = 28, 6
 BINS = BANDS * ROWS
+# Hubs under each rare key at first; every further round has twice as many.
+RARE_HUBS = 4
 
 
 def shingle_hashes(texts: list[bytes], words: int = SHINGLE_WORDS) -> list[np.ndarray]:
@@ -196,8 +199,8 @@ def _mixed(open_: DataFrame, groups: DataFrame) -> DataFrame:
     return named.join(stored(mixed.where("low < high").select("bucket"), "mixed"), "bucket", "left_semi")
 
 
-def _met(open_: DataFrame, count: int) -> DataFrame:
-    """Members of other components with each of the ``count`` first members of their bucket."""
+def _met(open_: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """Members of other components with each of the ``count`` first members of their bucket; these hubs."""
     open_ = stored(open_, "open")
     place = F.row_number().over(Window.partitionBy("bucket").orderBy("near", "id"))
     hubs = open_.withColumn("place", place).where(F.col("place") <= count)
@@ -205,19 +208,59 @@ def _met(open_: DataFrame, count: int) -> DataFrame:
         hubs.select("bucket", F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("component").alias("with")), "hubs"
     )
     met = open_.join(hubs, "bucket").where("id != hub AND component != with")
-    return met.select("bucket", "id", "n", "hub", "hn")
+    return met.select("bucket", "id", "n", "hub", "hn"), hubs
 
 
-def _longer_keys(classes: DataFrame, open_: DataFrame) -> DataFrame:
-    """Members of ``open_`` under keys of two bands each: every band and its next three."""
-    ids = open_.select("id", "component").distinct()
-    key = lambda i, step: F.xxhash64(F.get("bands", i), F.get("bands", (i + step) % BANDS))
-    pairs = [F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i, s=s: key(i, s)) for s in (1, 2, 3)]
-    return (
-        classes.join(ids, "id")
-        .select("id", "n", "component", F.explode(F.concat(*pairs)).alias("bucket"))
-        .withColumn("near", F.lit(1.0))
+def _rare_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``members`` (id, n) under their rarest shingles: ``bucket``, ``id``, ``n``, ``indexed``.
+
+    Two sets of n and m <= n shingles that are alike have percent * n / 100 in
+    common, and 2 * percent * m / (100 + percent). So a common one is among the
+    first, in any fixed order, that are left over when as many less one are taken
+    away; those of the smaller set are ``indexed``. Rare ones come first in the order,
+    and the ones that nobody shares are no keys.
+    """
+    own = sets.join(members.select("id"), "id", "left_semi").dropDuplicates(["id"])
+    each = own.select("id", F.explode("shingles").alias("bucket"))
+    shared = stored(each.groupBy("bucket").agg(F.count("*").alias("of")).where("of > 1"), "shared")
+    common = each.join(shared, "bucket").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("of", "bucket"))).alias("common"))
+    met = F.expr(f"n - (n * {percent} + 99) DIV 100 + 1 - (n - size(common))")
+    indexed = F.expr(f"n - (2 * {percent} * n + {99 + percent}) DIV {100 + percent} + 1 - (n - size(common))")
+    first = F.slice("common", 1, F.greatest(met, F.lit(0)).cast("int"))
+    keys = common.join(members, "id").select("id", "n", indexed.alias("first"), F.posexplode(first).alias("pos", "key"))
+    return keys.select(F.col("key.bucket").alias("bucket"), "id", "n", (F.col("pos") < F.col("first")).alias("indexed"))
+
+
+def _crossing(keys: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members with their component, in buckets that may still hold a link between components."""
+    named = keys.join(groups.withColumnRenamed("node", "id"), "id", "left")
+    named = stored(named.withColumn("component", F.coalesce("component", "id")), "named")
+    kinds = named.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("indexed").alias("any")
     )
+    open_ = kinds.where("low < high AND any").select("bucket")
+    return stored(named.join(stored(open_, "crossing"), "bucket", "left_semi"), "open")
+
+
+def _met_rarely(open_: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`_met`, under rare keys; hubs come from the components with the fewest members of a bucket."""
+    few = stored(open_.groupBy("bucket", "component").agg(F.count("*").alias("few")), "few")
+    first = Window.partitionBy("bucket").orderBy("few", F.col("indexed").desc(), "id")
+    hubs = open_.join(few, ["bucket", "component"]).withColumn("place", F.row_number().over(first))
+    hubs = stored(
+        hubs.where(F.col("place") <= count).select(
+            "bucket", F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("component").alias("with"),
+            F.col("indexed").alias("hub_indexed"),
+        ), "hubs"
+    )
+    smaller = F.when(F.col("n") < F.col("hn"), F.col("indexed")).when(F.col("n") > F.col("hn"), F.col("hub_indexed"))
+    due = F.coalesce(smaller, F.col("indexed") | F.col("hub_indexed"))
+    met = open_.join(hubs, "bucket").where(due & (F.col("component") != F.col("with")))
+    return met.select("bucket", "id", "n", "hub", "hn"), hubs
+
+
+def _without_hubs(open_: DataFrame, hubs: DataFrame) -> DataFrame:
+    return open_.join(hubs.select("bucket", F.col("hub").alias("id")), ["bucket", "id"], "left_anti")
 
 
 def _linked(documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -241,17 +284,27 @@ def _linked(documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     below = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
     open_ = stored(_mixed(left, stored(below, "below")), "open")
     # Step 2: those who are left meet the members nearest to it.
-    pairs = _pairs(_met(open_, 2), percent).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    tested = stored(_tested(pairs, sets), "tested")
+    met, hubs = _met(open_, 2)
+    done = tested.select("a", "b")
+    tested = stored(_tested(_pairs(met, percent).join(done, ["a", "b"], "left_anti"), sets), "tested")
+    done = done.union(tested.select("a", "b"))
     links = links.union(tested.where(alike).select("a", "b"))
     groups = stored(components(links), "groups")
-    # Step 3: members of buckets that are still mixed meet under longer keys.
-    open_ = open_.select("bucket", "id", "n")
-    open_ = stored(_longer_keys(classes, stored(_mixed(open_, groups), "open")), "longer")
-    tested = stored(_tested(_pairs(_met(open_, 2), percent), sets), "tested")
-    more = tested.where(alike).select("a", "b")
-    stars = groups.where("node > component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    return components(stars.union(more))
+    # Step 3: members of buckets that are still mixed meet under rare shingles, until none is undecided.
+    left = _mixed(_without_hubs(open_.select("bucket", "id", "n"), hubs), groups)
+    left = stored(left.select("id", "n").distinct(), "left")
+    if left.isEmpty():
+        return groups
+    open_, count = _crossing(_rare_keys(left, sets, percent), groups), RARE_HUBS
+    while not open_.isEmpty():
+        met, hubs = _met_rarely(open_, count)
+        tested = stored(_tested(_pairs(met, percent).join(done, ["a", "b"], "left_anti"), sets), "tested")
+        done = done.union(tested.select("a", "b"))
+        stars = groups.where("node > component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = stored(components(stars.union(tested.where(alike).select("a", "b"))), "groups")
+        open_ = _crossing(_without_hubs(open_, hubs).select("bucket", "id", "n", "indexed"), groups)
+        count *= 2
+    return groups
 
 
 def near_duplicates(
