@@ -1,7 +1,8 @@
 """Licences in texts, recognised by their sentences.
 
-A text is cut into sentences, which are normalised: comment marks and white space
-go, letters become small, spellings become one. A sentence that a pattern knows is
+A text is cut into sentences, also across the line breaks of a paragraph. They are
+normalised: comment marks and white space go, letters become small, spellings become
+one. A sentence that a pattern knows is
 replaced by its identifier; one that merely sounds like a licence is ``unknown``,
 all others are dropped. The sequence of identifiers is then matched against
 ordered rules: the first rule takes its identifiers out wherever they follow one
@@ -20,6 +21,7 @@ from pavilion.llm.storage import fresh
 
 # Identifiers of sentences and the patterns of their normalised text.
 _LICENSED = r"(?:this \S+(?: \S+)? is )?(?:licensed|released|distributed|available|published|provided)(?: to you)? under(?: the terms of)?(?: the)? "
+_FREE = r".{0,80}is free software[:;,]? you can redistribute it and/or modify it under the terms of the gnu general public license "
 SENTENCES: list[tuple[str, str]] = [
     ("spdx-mit", r"spdx-license-identifier: ?mit"),
     ("spdx-apache-2", r"spdx-license-identifier: ?apache-2\.0"),
@@ -37,7 +39,7 @@ SENTENCES: list[tuple[str, str]] = [
     ("mit-name", _LICENSED + r"(?:mit|expat) license|(?:the )?mit license(?: \(mit\))?"),
     ("mit-grant", r"permission is hereby granted, free of charge, to any person obtaining a copy of this software .*"),
     ("mit-notice", r"the above copyright notice and this permission notice .*shall be included in all copies .*"),
-    ("as-is", r"the software is provided \"?as is\"?,? without warranty of any kind.*"),
+    ("as-is", r"the software is provided \"?as is\"?,? (?:without warranty of any kind|and .* disclaims all warranties).*"),
     ("no-liability", r"in no event shall (?:the|any) .*(?:liable|liability).*"),
     ("isc-grant", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted.*"),
     ("apache-2-name", _LICENSED + r"apache license,? (?:version|v\.?) ?2(?:\.0)?(?: \(the \"?license\"?\))?|apache license,? version 2\.0.*"),
@@ -50,14 +52,18 @@ SENTENCES: list[tuple[str, str]] = [
     ("bsd-binary", r"(?:\W?\d\W? )?redistributions? in binary form must reproduce .*"),
     ("bsd-endorse", r"(?:\W?\d\W? )?neither the names? of .*may be used to endorse or promote products .*"),
     ("bsd-as-is", r"this software is provided by the .*\"?as is\"? .*"),
-    ("gpl-free", r".{0,80}is free software[:;,]? you can redistribute it and/or modify it under the terms of the gnu general public license .*"),
+    ("gpl-3-free", _FREE + r".*version 3 of the license.*"),
+    ("gpl-2-free", _FREE + r".*version 2 of the license.*"),
+    ("gpl-free", _FREE + r".*"),
     ("gpl-2-name", _LICENSED + r"(?:gnu general public license|gnu gpl|gpl),? ?(?:version|v)\.? ?2(?:\.0)?.*"),
     ("gpl-3-name", _LICENSED + r"(?:gnu general public license|gnu gpl|gpl),? ?(?:version|v)\.? ?3(?:\.0)?.*"),
     ("gpl-name", _LICENSED + r"(?:gnu general public license|gnu gpl|gpl)"),
     ("gpl-version-2", r"either version 2 of the license, or .*any later version"),
     ("gpl-version-3", r"either version 3 of the license, or .*any later version"),
     ("gpl-hope", r".{0,80}is distributed in the hope that it will be useful, but without any warranty.*"),
+    ("gpl-see", r"see the gnu general public license for more details"),
     ("gpl-received", r"you should have received a copy of the gnu .*"),
+    ("gpl-else", r"if not, (?:see|write to) .*"),
     ("lgpl-name", _LICENSED + r"(?:gnu (?:lesser|library) general public license|gnu lgpl|lgpl).*"),
     ("agpl-name", _LICENSED + r"(?:gnu affero general public license|gnu agpl|agpl).*"),
     ("mpl-2-name", r"this source code form is subject to the terms of the mozilla public license, v\. 2\.0|" + _LICENSED + r"mozilla public license.*"),
@@ -79,13 +85,25 @@ RULES: list[tuple[tuple[str, ...], str, str]] = [
     (("mit-grant", "mit-notice", "as-is"), "MIT", "permissive"),
     (("mit-grant", "mit-notice"), "MIT", "permissive"),
     (("apache-2-name", "apache-comply", "apache-copy", "apache-basis", "apache-see"), "Apache-2.0", "permissive"),
+    (("apache-2-name", "apache-comply", "apache-copy", "apache-see"), "Apache-2.0", "permissive"),
     (("apache-2-name", "apache-comply", "apache-copy"), "Apache-2.0", "permissive"),
+    (("copyright", "all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "no-liability"), "BSD-3-Clause", "permissive"),
+    (("copyright", "all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"), "BSD-3-Clause", "permissive"),
+    (("copyright", "all-rights", "bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "no-liability"), "BSD-2-Clause", "permissive"),
+    (("copyright", "all-rights", "bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause", "permissive"),
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-as-is", "no-liability"), "BSD-3-Clause", "permissive"),
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse"), "BSD-3-Clause", "permissive"),
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is", "no-liability"), "BSD-2-Clause", "permissive"),
     (("bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause", "permissive"),
     (("isc-grant", "as-is", "no-liability"), "ISC", "permissive"),
+    (("isc-grant", "as-is"), "ISC", "permissive"),
     (("isc-grant",), "ISC", "permissive"),
+    (("gpl-3-free", "gpl-hope", "gpl-see", "gpl-received", "gpl-else"), "GPL-3.0", "copyleft"),
+    (("gpl-3-free", "gpl-hope", "gpl-see", "gpl-received"), "GPL-3.0", "copyleft"),
+    (("gpl-3-free",), "GPL-3.0", "copyleft"),
+    (("gpl-2-free", "gpl-hope", "gpl-see", "gpl-received", "gpl-else"), "GPL-2.0", "copyleft"),
+    (("gpl-2-free", "gpl-hope", "gpl-see", "gpl-received"), "GPL-2.0", "copyleft"),
+    (("gpl-2-free",), "GPL-2.0", "copyleft"),
     (("gpl-free", "gpl-version-3", "gpl-hope", "gpl-received"), "GPL-3.0", "copyleft"),
     (("gpl-free", "gpl-version-2", "gpl-hope", "gpl-received"), "GPL-2.0", "copyleft"),
     (("gpl-free", "gpl-hope", "gpl-received"), "GPL", "copyleft"),
@@ -125,25 +143,52 @@ RULES: list[tuple[tuple[str, ...], str, str]] = [
 
 # The first class that any licence of a text has is the text's.
 CLASSES = ("reserved", "restricted", "copyleft", "permissive")
-_SOUNDS_LIKE = r"licen[cs]e|copyright|©|\(c\) |all rights|warrant|redistribut|permission|public domain|free software|you may|commercial|proprietary|unauthori|spdx|gnu "
+_SOUNDS_LIKE = r"licen[cs]e|copyright|©|\(c\) |all rights|warrant|redistribut|permission|public domain|free software|you may|commercial|proprietary|unauthori|spdx|gnu |in no event shall"
 
 
 def normalised(sentence: Column) -> Column:
     """Small letters, single spaces, one spelling, no comment marks or end marks."""
-    plain = F.regexp_replace(F.lower(sentence), r"^[\s/*#;%!<>|-]+|[\s/*#;%!<>|.?-]+$", "")
+    plain = F.regexp_replace(F.lower(sentence), r"^[\s/*#;%!<>|-]+|[\s/*#;:%!<>|.?-]+$", "")
     plain = F.regexp_replace(plain, r"[\s*]+", " ")
     plain = F.translate(plain, "“”‘’´`–—", "\"\"''''--")
     return F.regexp_replace(plain, r"\blicen(?:c|s)e(d?)\b", "license$1")
 
 
+# How lines begin that go on with no sentence before them. Wrapped lines may begin with any other word.
+_BEGINS = (
+    r"Copyright|COPYRIGHT (?:\(C\)|©|\d)|©|\([cC]\) |All rights|ALL RIGHTS|SPDX|"
+    r"(?:Licen[cs]ed|Released|Distributed|Available|Published|Provided)(?: to you)? under|This |THIS SOFTWARE IS|"
+    r"Permission |The above|Redistribution|\d[.)] |Neither the|THE SOFTWARE IS|The software is|IN NO EVENT|In no event|"
+    r"Unless required|You (?:may|should) |See the Licen|To the extent|No part|Unauthori"
+)
+_CUTS = "|".join(
+    [
+        r"\n\s*\n\s*",
+        r"(?<=[.!?])\s+",
+        r"(?<=:)[ \t]*\n\s*(?!(?i:you can))",
+        r"(?<=(?i:conditions are met:|following conditions:))\s+",
+        r"(?<=;)\s+(?=(?i:you may not use this))",
+        rf"\n[ \t]*(?={_BEGINS})",
+    ]
+)
+_COMMENT_HEAD = r"(?m)^[ \t]*(?:(?:/\*+|\*+/|\*|//+|#+|;+|%+|--+|!+|\|+|>+|<!--+)[ \t]*)+"
+_COMMENT_TAIL = r"(?m)[ \t]*(?:\*+/|--+>)?[ \t]*$"
+# Copyright lines and headings stand alone.
+_ALONE = r"(?m)^((?:Copyright|COPYRIGHT \(C\)|©|\([cC]\) ).*|All rights reserved\.?|.{0,60}\b(?i:licen[cs]e)(?: \([^)\n]*\))?(?=\n[ \t]*[A-Z\"]))$"
+
+
 def sentences(text: Column) -> Column:
-    """Sentences that sound like a licence, normalised, in order.
+    """Sentences that sound like a licence, in order, with their line breaks.
 
-    They end at a line break, or at an end mark or colon before white space.
+    They end at a blank line, at an end mark before white space, at a colon at the end
+    of a line or before a list of conditions, and before a line that begins as licence
+    sentences do.
     """
-    cut = F.split(F.coalesce(text, F.lit("")), r"\r?\n|(?<=[.!?])\s+", -1)
-    heard = F.filter(cut, lambda s: F.lower(s).rlike(_SOUNDS_LIKE))
-    return F.filter(F.transform(heard, normalised), lambda s: s != "")
+    plain = F.regexp_replace(F.coalesce(text, F.lit("")), r"\r\n?", "\n")
+    plain = F.regexp_replace(F.regexp_replace(plain, _COMMENT_HEAD, ""), _COMMENT_TAIL, "")
+    cut = F.split(F.regexp_replace(plain, _ALONE, "$1\n"), _CUTS, -1)
+    address = r"^\W*https?://\S*\s*$"  # of a licence's text, as in Apache's
+    return F.filter(cut, lambda s: F.lower(s).rlike(_SOUNDS_LIKE) & ~s.rlike(address))
 
 
 def _identifier(sentence: Column) -> Column:
@@ -153,10 +198,22 @@ def _identifier(sentence: Column) -> Column:
     return found
 
 
+def _identifiers_of(sentence: Column) -> Column:
+    """Of a sentence, or of its lines if it is known only line by line."""
+
+    def by_line(whole: Column) -> Column:
+        lines = F.filter(F.split(sentence, r"\n"), lambda s: F.lower(s).rlike(_SOUNDS_LIKE))
+        named = F.transform(F.filter(F.transform(lines, normalised), lambda s: s != ""), _identifier)
+        broken = (whole == "unknown") & F.contains(sentence, F.lit("\n")) & (F.size(lines) > 0)
+        return F.when(broken, named).otherwise(F.array(whole))
+
+    return let(normalised(sentence), lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(let(_identifier(s), by_line)))
+
+
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's licence sentences, in order."""
     return F.when(
-        F.coalesce(text, F.lit("")).rlike(f"(?i){_SOUNDS_LIKE}"), F.transform(sentences(text), _identifier)
+        F.coalesce(text, F.lit("")).rlike(f"(?i){_SOUNDS_LIKE}"), F.flatten(F.transform(sentences(text), _identifiers_of))
     ).otherwise(F.array().cast("array<string>"))
 
 

@@ -141,6 +141,89 @@ def test_licenses(spark):
     }
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 X
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM."""
+BSD2 = """Copyright (c) 2020, X
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+{}
+THIS SOFTWARE IS PROVIDED BY THE
+COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE FOR
+ANY DIRECT DAMAGES."""
+BSD3 = BSD2.format("""
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""")
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY
+SPECIAL DAMAGES."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+
+
+def test_wrapped_licences(spark):
+    """Standard texts, plain, in comments, and on one line."""
+    wanted = [(MIT, "MIT"), (BSD2.format(""), "BSD-2-Clause"), (BSD3, "BSD-3-Clause"), (ISC, "ISC"), (APACHE, "Apache-2.0"), (GPL, "GPL-3.0")]
+    rows = []
+    for text, name in wanted:
+        rows += [(name, text), (name, text.replace("\n", "\r\n"))]
+        rows += [(name, "\n".join(f"{mark} {x}".rstrip() for x in text.split("\n"))) for mark in ("#", "//", ";;", " *", "--")]
+        rows += [(name, "/*\n * " + text.replace("\n", "\n * ") + "\n */\nint x;"), (name, "Words before\n" + text + "\nWords after")]
+        if name != "MIT":
+            rows += [(name, re.sub(r"\s+", " ", text.partition("All rights reserved.\n")[2] or text))]
+    result, (ids, licenses, rest, kind, usable) = license_scan.scanned(spark.createDataFrame(rows, "name string, text string"))
+    for r in result.collect():
+        assert (r[licenses], r[rest]) == ([r.name], []), r
+        assert r[usable] and r[kind] == ("copyleft" if r.name == "GPL-3.0" else "permissive")
+
+
 def test_every_licence_line_is_recognised(spark, texts):
     lines = {
         "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
