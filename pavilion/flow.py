@@ -25,6 +25,13 @@ RAW = {
     "matches": (schemas.MATCHES_FILE, schemas.RAW_MATCHES),
     "deliveries": (schemas.DELIVERIES_FILE, schemas.RAW_DELIVERIES),
 }
+KEYS = {"matches": schemas.MATCH_KEYS, "deliveries": schemas.DELIVERY_KEYS}
+
+
+class Written(dict):
+    """Row counts by table; ``refused`` has those of the raw rows that no table could take, by file."""
+
+    refused: dict[str, int]
 
 
 @dataclass(frozen=True)
@@ -56,7 +63,7 @@ def land(
     }
     counts = {}
     for name, raw in found.items():
-        rejects = cleansing.reject_counts(RAW[name][1])
+        rejects = cleansing.reject_counts(RAW[name][1], KEYS[name])
         counts[name] = tables.write_parquet(raw, f"{places.raw}/{name}", counts=rejects)
         log.info("landed %s: %s", name, counts[name])
     return counts
@@ -64,15 +71,18 @@ def land(
 
 def transform(
     spark: SparkSession, places: Places, layouts: dict[str, Layout] = STANDARD
-) -> dict[str, int]:
+) -> Written:
     """Build the seven tables as a new run in the processed zone. Returns their row counts.
 
+    Raw rows without a usable key are kept in the run's folder below ``rejected``, with
+    the reason of each; ``refused`` of the result has their numbers.
+
     The fact is written once and the statistics are derived from the written
     fact, reading a few of its columns; the players come from the statistics.
     Tables with generated keys are already in the order of their names, as the
     key builder sorts them by ranges.
     """
-    rows = {}
+    rows = Written()
     folder = f"{places.processed}/{runs.new_run()}"
 
     def write(table: str, df: DataFrame, in_order: bool = False) -> DataFrame:
@@ -82,6 +92,11 @@ def transform(
         return files.read_parquet(spark, folder, table)
 
     raw = {name: spark.read.parquet(f"{places.raw}/{name}") for name in RAW}
+    rows.refused = {}
+    for name, df in raw.items():
+        left_out = cleansing.refused(df, RAW[name][1], KEYS[name])
+        rows.refused[name] = tables.write_parquet(left_out, f"{folder}/rejected/{name}")["rows"]
+        log.info("refused of %s: %s rows", name, rows.refused[name])
     matches = cleansing.typed_matches(raw["matches"])
     written = write("dim_matches", dimensions.matches(matches))
     write("dim_teams", dimensions.teams(matches), in_order=True)

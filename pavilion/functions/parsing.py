@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Text such as "4.0", which counts as the whole number in front of the point.
 _WITH_FRACTION = r"^\s*([+-]?\d+)\.\d*\s*$"
 
+# Text such as "4.0", which is a whole number.
+_WHOLE = r"^\s*([+-]?\d+)\.0*\s*$"
+
 
 def whole_number(text: Column, kind: str) -> Column:
     """``text`` as ``int`` or ``bigint``; a fraction is cut off.
@@ -27,11 +30,18 @@ def parsed(text: Column, kind: str) -> Column:
     return text.try_cast(kind)
 
 
+def parsed_key(text: Column, kind: str) -> Column:
+    """Like :func:`parsed`, but a fraction other than zeros gives NULL: cutting it off would merge two keys."""
+    if kind in ("int", "bigint"):
+        return F.coalesce(text.try_cast(kind), F.regexp_extract(text, _WHOLE, 1).try_cast(kind))
+    return parsed(text, kind)
+
+
 def blank_to_null(text: Column, words: tuple[str, ...]) -> Column:
     """NULL where ``text`` is one of ``words``."""
     return F.when(~text.isin(*words), text) if words else text
 
 
-def rejected(text: Column, kind: str) -> Column:
-    """Number of values that hold text but no usable value of ``kind``."""
-    return F.count_if(text.isNotNull() & parsed(text, kind).isNull())
+def rejected(text: Column, value: Column) -> Column:
+    """Number of values that hold ``text`` but gave no usable ``value``."""
+    return F.count_if(text.isNotNull() & value.isNull())

@@ -6,24 +6,40 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavilion import schemas
-from pavilion.functions.parsing import parsed, rejected
+from pavilion.functions.parsing import parsed, parsed_key, rejected
 
 
 def typed(raw: DataFrame, kinds: dict[str, str], required: tuple[str, ...]) -> DataFrame:
     """Cast the columns named in ``kinds`` and drop rows lacking a required one.
 
-    A required column is a key and must be exactly a whole number: cutting a fraction
-    off would merge two keys. The null check on the raw column reaches the scan.
+    A required column is a key and must be a whole number, 7.0 as well as 7: cutting
+    a fraction off would merge two keys. The null check on the raw column reaches the
+    scan. :func:`refused` has the dropped rows.
 
     Repeated rows are still in. Anything that only asks for distinct values
     should start here: the scan then reads just the columns it needs, which a
     whole-row deduplication would prevent.
     """
-    casts = {
-        c: F.col(c).try_cast(kind) if c in required else parsed(F.col(c), kind)
+    casts = _values(kinds, required)
+    return with_values(with_values(raw, required).withColumns(casts), required)
+
+
+def _values(kinds: dict[str, str], required: tuple[str, ...]) -> dict[str, Column]:
+    """The values of the cast columns."""
+    return {
+        c: parsed_key(F.col(c), kind) if c in required else parsed(F.col(c), kind)
         for c, kind in schemas.typed_columns(kinds).items()
     }
-    return with_values(with_values(raw, required).withColumns(casts), required)
+
+
+def refused(raw: DataFrame, kinds: dict[str, str], required: tuple[str, ...]) -> DataFrame:
+    """The rows that :func:`typed` drops, as they came, and why in ``_reason``."""
+    values = _values(kinds, required)
+    reasons = []
+    for c in required:
+        why = F.when(F.col(c).isNull(), f"{c} is missing")
+        reasons.append(why.when(values[c].isNull(), f"{c} is no whole number") if c in values else why)
+    return raw.withColumn("_reason", F.concat_ws("; ", *reasons)).where("_reason != ''")
 
 
 def with_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -58,9 +74,9 @@ def clean_deliveries(raw: DataFrame) -> DataFrame:
     return typed_deliveries(raw).dropDuplicates()
 
 
-def reject_counts(kinds: dict[str, str]) -> list[Column]:
-    """Aggregates that count, per cast column, the text that gave no value."""
-    return [rejected(F.col(c), kind).alias(c) for c, kind in schemas.typed_columns(kinds).items()]
+def reject_counts(kinds: dict[str, str], required: tuple[str, ...] = ()) -> list[Column]:
+    """Aggregates that count, per cast column, the text that gave no value; by the rule of keys where ``required``."""
+    return [rejected(F.col(c), value).alias(c) for c, value in _values(kinds, required).items()]
 
 
 def smallest_per_key(df: DataFrame, key: str) -> DataFrame:

@@ -61,6 +61,17 @@ def test_keys_are_never_cut(spark, raw_matches):
     assert sorted(r["id"] for r in kept.collect()) == [1, 7]
 
 
+def test_whole_keys_with_zeros_are_kept(spark, raw_matches):
+    raw = raw_matches({"id": "335982.0"}, {"id": "335982"}, {"id": "7.9"}, {"id": "A12"}, {"id": None})
+    assert [r["id"] for r in cleansing.clean_matches(raw).collect()] == [335982]
+    counts = raw.agg(*cleansing.reject_counts(schemas.RAW_MATCHES, schemas.MATCH_KEYS)).first()
+    assert counts["id"] == 2
+    left = cleansing.refused(raw, schemas.RAW_MATCHES, schemas.MATCH_KEYS).collect()
+    assert {r["id"]: r["_reason"] for r in left} == {
+        "7.9": "id is no whole number", "A12": "id is no whole number", None: "id is missing",
+    }
+
+
 def test_repeats_are_whole_rows_only(spark, raw_deliveries):
     raw = raw_deliveries({}, {}, {"ball": "2"}, {"ball": "2.0"})
     assert cleansing.clean_deliveries(raw).count() == 2

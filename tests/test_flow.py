@@ -100,6 +100,16 @@ def test_load_follows_the_layout_of_the_run(spark, places):
     assert flow.load(spark, places, STANDARD, copy=True) == written
 
 
+def test_refused_rows_are_counted_and_kept(spark, places, source):
+    source(MATCHES + [{"id": "7.9"}], DELIVERIES + [{"match_id": "1.0", "over": "9"}, {"match_id": "A12"}, {"bowler": None}], places.source)
+    counts = flow.land(spark, places)
+    assert (counts["matches"]["id"], counts["deliveries"]["match_id"]) == (1, 1)
+    written = flow.transform(spark, places)
+    assert written.refused == {"matches": 1, "deliveries": 2} and written["fact_deliveries"] == 37
+    kept = spark.read.parquet(f"{runs.latest(spark, places.processed).path}/rejected/deliveries").collect()
+    assert {(r.match_id, r._reason) for r in kept} == {("A12", "match_id is no whole number"), ("1", "bowler is missing")}
+
+
 def test_load_needs_a_finished_run(spark, places):
     with pytest.raises(FileNotFoundError, match="no finished run"):
         flow.load(spark, places)
