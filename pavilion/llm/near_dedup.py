@@ -22,6 +22,8 @@ So a link is lost only if its two texts share no band.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,10 +42,25 @@ SHINGLE_WORDS = 5
 # probability of (1 - 0.85**6)**28 = 2e-6, one at 0.3 is a candidate with 2 %.
 BANDS, ROWS = 28, 6
 BINS = BANDS * ROWS
+MISS, MOST_BANDS = 2e-6, 64
 # Hubs under each rare key at first; every further round has twice as many.
 RARE_HUBS = 4
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows at which a pair at ``percent`` hundredths shares no band with ``MISS`` at most.
+
+    As many rows as ``MOST_BANDS`` allow, up to ``ROWS``, or else one.
+    """
+    if percent >= 100:
+        return 1, ROWS
+    for rows in range(ROWS, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** rows)))
+        if bands <= MOST_BANDS:
+            break
+    return bands, rows
+
+
 def shingle_hashes(texts: list[bytes], words: int = SHINGLE_WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     buffer, begins = arrays.joined(texts)
@@ -103,17 +120,17 @@ def _set_sum(values: np.ndarray, salt: int) -> np.int64:
     return arrays.mix(values + U(salt)).sum(dtype=U).view(np.int64)
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sketch(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, texts in arrays.parts(batch, "text"):
             sets = shingle_hashes(texts)
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            keys = band_keys(signatures(sets)).view(np.int64)
+            keys = band_keys(signatures(sets, bands * rows), bands).view(np.int64)
             sums = [
                 np.array([_set_sum(s, salt) for s in sets], dtype=np.int64) for salt in (11, 12)
             ]
-            bands = workers.lists(pa.array(keys.ravel()), [BANDS] * len(sets))
-            yield workers.batch(id=part["id"], n=sizes, d1=sums[0], d2=sums[1], bands=bands)
+            buckets = workers.lists(pa.array(keys.ravel()), [bands] * len(sets))
+            yield workers.batch(id=part["id"], n=sizes, d1=sums[0], d2=sums[1], bands=buckets)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -325,7 +342,8 @@ def near_duplicates(
     """
     given = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     schema = "id long, n long, d1 long, d2 long, bands array<long>"
-    sketch = stored(mapped(given, _sketch, schema), "sketch")
+    bands, rows = banding(percent)
+    sketch = stored(mapped(given, functools.partial(_sketch, bands=bands, rows=rows), schema), "sketch")
     named = sketch.where("n > 0 AND id IS NOT NULL")
     text = named.groupBy("id").agg(F.min(F.struct("n", "d1", "d2", "bands")).alias("own"))
     least = F.min(F.struct("id", "bands")).alias("first")

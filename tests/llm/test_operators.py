@@ -108,6 +108,19 @@ def test_a_chain_of_copies_is_one_group(spark):
     assert {r.doc_id: r.component_id for r in result.collect()} == {i: c for i, (_, c) in groups(dict(rows)).items()}
 
 
+def test_bands_follow_the_threshold(spark):
+    assert near_dedup.banding(85) == (near_dedup.BANDS, near_dedup.ROWS) and near_dedup.banding(100) == (1, 6)
+    for percent in range(30, 100):
+        bands, rows = near_dedup.banding(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= near_dedup.MISS
+    rows = []
+    for i in range(300):  # pairs 0.6 alike
+        both = " ".join(f"c{i // 2}_{j}" for j in range(154))
+        rows.append((i, both + " " + " ".join(f"o{i}_{j}" for j in range(50))))
+    result = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent=60)
+    assert {r.doc_id: r.component_id for r in result.collect()} == {i: i - i % 2 for i, _ in rows}
+
+
 def test_pairs_on_one_template(spark):
     """Nearly every key of a pair (0.86 alike) is crowded by the other pairs (0.84 alike)."""
     base = " ".join(f"t{i}" for i in range(917))
