@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pavilion.llm import arrays, workers
@@ -503,6 +503,11 @@ def _removed(pack: pa.Table, covered: pa.Table) -> pa.Table:
     )
 
 
+def _spread(groups: int) -> Column:
+    """A part number for ``pack``, whose low bits are alike where partitions hold few packs."""
+    return F.pmod(F.xxhash64("pack"), F.lit(groups))
+
+
 def without_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``id_column``, ``n_bytes``, ``spans``, ``kept`` for every row of ``docs``.
 
@@ -525,7 +530,7 @@ def without_repeated_passages(docs: DataFrame, id_column: str = "doc_id", text_c
         lambda pack, told: _segments(pack, told, buckets), _SEGMENTS
     )
     # Cold minimizers are decided at once; hot ones among packs that share a part number.
-    part = F.when(F.col("bucket") < 0, F.col("pack")).when(F.col("hot"), F.col("pack") % groups).otherwise(0)
+    part = F.when(F.col("bucket") < 0, F.col("pack")).when(F.col("hot"), _spread(groups)).otherwise(0)
     segments = segments.withColumn("part", part)
     decided = segments.groupBy("bucket", "hot", "part").applyInArrow(_decide, _SEGMENTS)
     decided = stored(decided, "decided")

@@ -304,6 +304,14 @@ def test_repeated_passages(spark, documents, edges, empty, monkeypatch, sizes):
     assert repeated_passages.without_repeated_passages(empty).count() == 0
 
 
+def test_hot_packs_spread_over_all_parts(spark):
+    """One pack in each of many partitions."""
+    packs = spark.range(2000).selectExpr("shiftleft(id, 32) AS pack")
+    for groups in (16, 24, 40):
+        parts = {r[0]: r[1] for r in packs.groupBy(repeated_passages._spread(groups).alias("p")).count().collect()}
+        assert sorted(parts) == list(range(groups)) and max(parts.values()) < 3 * 2000 / groups
+
+
 @pytest.mark.parametrize("name", ["op5_url_range_join", "op10_warc"])
 def test_against_sql(spark, name):
     assert differences(queries.QUERIES[name](spark, FOLDER), oracle_connection(FOLDER), queries.ORACLES[name]) == []
