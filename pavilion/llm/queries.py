@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pavilion.llm import byte_pairs, decontamination, license_scan, near_dedup, personal_data, quality_rules, repeated_passages, rule_ensemble, url_rules, warc
+from pavilion.llm import (
+    byte_pairs, decontamination, hard_negatives, license_scan, near_dedup, packing, personal_data, quality_rules,
+    repeated_passages, rule_ensemble, url_rules, warc, whitening,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -170,6 +173,51 @@ FROM p LEFT JOIN f USING (payload_digest)
 """
 
 
+def op11_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """``documents`` packed into sequences of 1024 ids along a Hilbert curve."""
+    pieces = packing.packed(_table(spark, folder, "documents"), tokenizer_path())
+    return pieces.select(
+        "doc_id", "start", "length", packing.checksums().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op12_refined_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """``embeddings`` on their 16 leading components, with unit variance along each."""
+    rows = whitening.whitened(_table(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+def op13_hyperplane_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth row of ``embeddings``; every seventh label is moved by one."""
+    moved = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    anchors = F.pmod("vec_id", F.lit(100)) == 0
+    return hard_negatives.hard_negatives(_table(spark, folder, "embeddings"), anchors, label=moved)
+
+
+OP13_SQL = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS DOUBLE)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, o.vec_id AS other_id, a.label = o.label AS same,
+        CAST(list_inner_product(a.x, o.x) AS BIGINT) AS score
+    FROM v a JOIN v o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+    s.other_id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_license_scan": op2_license_scan,
@@ -181,6 +229,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_warc": op10_warc,
+    "op11_curve_packing": op11_curve_packing,
+    "op12_refined_whitening": op12_refined_whitening,
+    "op13_hyperplane_negatives": op13_hyperplane_negatives,
 }
 
-ORACLES: dict[str, str] = {"op5_url_range_join": OP5_SQL, "op10_warc": OP10_SQL}
+ORACLES: dict[str, str] = {"op5_url_range_join": OP5_SQL, "op10_warc": OP10_SQL, "op13_hyperplane_negatives": OP13_SQL}
