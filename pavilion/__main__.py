@@ -13,7 +13,7 @@ from pavilion.sinks.layout import BY_SEASON, STANDARD
 
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pavilion", description=__doc__)
-    parser.add_argument("stage", choices=["land", "transform", "load", "validate", "run", "report"])
+    parser.add_argument("stage", choices=["land", "transform", "load", "create", "validate", "run", "report"])
     parser.add_argument("name", nargs="?", choices=sorted(REPORTS), help="the report to show")
     parser.add_argument("--source", default="data/source", help="folder of the raw CSV files")
     parser.add_argument("--raw", default="data/raw", help="raw zone")
@@ -21,6 +21,8 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--database", default="cricket")
     parser.add_argument("--tables", help="folder of the database, if it has to be created")
     parser.add_argument("--by-season", action="store_true", help="season folders instead of days")
+    parser.add_argument("--multi-line", action="store_true", help="quoted values may hold line breaks")
+    parser.add_argument("--strict", action="store_true", help="refuse faulty lines instead of reading what can be read")
     parser.add_argument("--copy", action="store_true", help="load copies into the database")
     arguments = parser.parse_args()
     if arguments.stage == "report" and not arguments.name:
@@ -36,14 +38,17 @@ def main() -> None:
     layouts = BY_SEASON if asked.by_season else STANDARD
     spark = open_session()
     if asked.stage == "land":
-        print(flow.land(spark, places))
+        landed = flow.land(spark, places, multi_line=asked.multi_line, strict=asked.strict)
+        print(landed, {"refused": landed.refused, "faulty": landed.faulty})
     elif asked.stage == "transform":
         print(flow.transform(spark, places, layouts))
     elif asked.stage == "load":
         # Without a copy the tables keep the layout that they were written with.
         print(flow.load(spark, places, layouts if asked.copy else None, asked.copy))
+    elif asked.stage == "create":
+        flow.create(spark, places)
     elif asked.stage == "run":
-        print(flow.run(spark, places, layouts, asked.copy))
+        print(flow.run(spark, places, layouts, asked.copy, asked.multi_line, asked.strict))
     else:
         if not spark.catalog.databaseExists(places.database):
             # A catalogue that lives in the session starts out empty each time.

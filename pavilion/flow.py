@@ -11,10 +11,11 @@ import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pavilion import checks, schemas
 from pavilion.operators import cleansing
-from pavilion.plans import dimensions, facts, stats
+from pavilion.plans import dimensions, facts, sql_tables, stats
 from pavilion.sinks import runs, tables
 from pavilion.sinks.layout import STANDARD, Layout
 from pavilion.sources import files
@@ -28,6 +29,18 @@ RAW = {
 KEYS = {"matches": schemas.MATCH_KEYS, "deliveries": schemas.DELIVERY_KEYS}
 
 
+# Beside the raw columns of a landed row: 1 if no table can take it, and why; the line of a
+# row that is refused or faulty.
+REFUSED, REASON = "refused", "_reason"
+
+
+class Landed(dict):
+    """Counts by file; ``refused`` and ``faulty`` have those of refused rows and of rows by reason."""
+
+    refused: dict[str, int]
+    faulty: dict[str, dict[str, int]]
+
+
 class Written(dict):
     """Row counts by table; ``refused`` has those of the raw rows that no table could take, by file."""
 
@@ -50,25 +63,63 @@ class Places:
 
 
 def land(
-    spark: SparkSession, places: Places, null_words: tuple[str, ...] = files.NULL_WORDS
-) -> dict[str, dict[str, int]]:
+    spark: SparkSession,
+    places: Places,
+    null_words: tuple[str, ...] = files.NULL_WORDS,
+    multi_line: bool = False,
+    strict: bool = False,
+) -> Landed:
     """Bring the source files into the raw zone, as text columns in Parquet.
 
     Nothing is written unless all files are there. Returns, per file, the number
     of rows and, per cast column, how many of its texts will not give a value.
+
+    Rows that no table can take, for want of a key, go to a folder of their own in the
+    same pass, with the reason and the line as it came. A faulty line (too many or too
+    few fields, an unclosed quote) is taken as far as it can be read, and its fault and
+    text are kept beside it; with ``strict`` it is refused.
     """
     found = {
-        name: files.read_csv(spark, f"{places.source}/{file}", kinds, null_words)
+        name: files.read_lines(spark, f"{places.source}/{file}", kinds, null_words, multi_line)
         for name, (file, kinds) in RAW.items()
     }
-    counts = {}
+    counts = Landed()
+    counts.refused, counts.faulty = {}, {}
     for name, raw in found.items():
-        rejects = cleansing.reject_counts(RAW[name][1], KEYS[name])
-        counts[name] = tables.write_parquet(raw, f"{places.raw}/{name}", counts=rejects)
-        log.info("landed %s: %s", name, counts[name])
+        kinds, keys = RAW[name][1], KEYS[name]
+        if {REFUSED, REASON} & {c.lower() for c in raw.columns}:
+            raise ValueError(f"{RAW[name][0]} has a column called {REFUSED} or {REASON}")
+        fault = F.col(files.FAULT)
+        reason = F.concat_ws("; ", fault, F.nullif(cleansing.refusal(keys, kinds), F.lit("")))
+        wrong = cleansing.refusal(keys, kinds) != ""
+        refused = (wrong | fault.isNotNull()) if strict else wrong
+        told = raw.withColumns({REASON: F.nullif(reason, F.lit("")), REFUSED: refused.cast("int")})
+        told = told.withColumn(files.LINE, F.when(F.col(REASON).isNotNull(), F.col(files.LINE)))
+        why = {**{f: fault == f for f in files.FAULTS}, **cleansing.refusals(keys, kinds)}
+        seen = [
+            *cleansing.reject_counts(kinds, keys),
+            F.sum(REFUSED).alias(REFUSED),
+            *[F.count_if(condition).alias(text) for text, condition in why.items()],
+        ]
+        # The fault is part of the reason; it stays until the rows are counted.
+        row = tables.write_routed(told, f"{places.raw}/{name}", REFUSED, counts=seen)
+        counts.faulty[name] = {text: n for text in why if (n := row.pop(text))}
+        counts.refused[name] = row.pop(REFUSED) or 0
+        counts[name] = row
+        log.info("landed %s: %s, refused %s, %s", name, row, counts.refused[name], counts.faulty[name])
     return counts
 
 
+def landed(spark: SparkSession, places: Places, name: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted and refused rows of a landed file. Other Parquet folders are told apart on the way."""
+    raw = spark.read.parquet(f"{places.raw}/{name}")
+    if REFUSED in raw.columns:
+        extra = [files.LINE, files.FAULT]
+        accepted = raw.where(F.col(REFUSED) == 0).drop(REFUSED, REASON, *extra)
+        return accepted, raw.where(F.col(REFUSED) == 1).drop(REFUSED, files.FAULT)
+    return raw, cleansing.refused(raw, RAW[name][1], KEYS[name])
+
+
 def transform(
     spark: SparkSession, places: Places, layouts: dict[str, Layout] = STANDARD
 ) -> Written:
@@ -91,17 +142,16 @@ def transform(
         log.info("wrote %s: %s rows", table, rows[table])
         return files.read_parquet(spark, folder, table)
 
-    raw = {name: spark.read.parquet(f"{places.raw}/{name}") for name in RAW}
+    raw = {name: landed(spark, places, name) for name in RAW}
     rows.refused = {}
-    for name, df in raw.items():
-        left_out = cleansing.refused(df, RAW[name][1], KEYS[name])
+    for name, (_, left_out) in raw.items():
         rows.refused[name] = tables.write_parquet(left_out, f"{folder}/rejected/{name}")["rows"]
         log.info("refused of %s: %s rows", name, rows.refused[name])
-    matches = cleansing.typed_matches(raw["matches"])
+    matches = cleansing.typed_matches(raw["matches"][0])
     written = write("dim_matches", dimensions.matches(matches))
     write("dim_teams", dimensions.teams(matches), in_order=True)
     write("dim_seasons", dimensions.seasons(matches), in_order=True)
-    clean = cleansing.clean_deliveries(raw["deliveries"])
+    clean = cleansing.clean_deliveries(raw["deliveries"][0])
     fact = write("fact_deliveries", facts.deliveries(clean, written))
     batting = write("batting_stats", stats.batting(fact))
     bowling = write("bowling_stats", stats.bowling(fact))
@@ -110,6 +160,17 @@ def transform(
     return rows
 
 
+def create(spark: SparkSession, places: Places) -> None:
+    """Create the match dimension and the delivery fact in SQL from the raw zone; existing tables stay."""
+    matches, deliveries = (landed(spark, places, name)[0] for name in RAW)
+    matches = cleansing.clean_matches(matches)
+    balls = facts.unseasoned(cleansing.clean_deliveries(deliveries))
+    balls = facts.with_season(balls, dimensions.match_seasons(matches))
+    tables.create_database(spark, places.database, places.tables)
+    sql_tables.create_matches(places.database, matches)
+    sql_tables.create_deliveries(places.database, balls)
+
+
 def load(
     spark: SparkSession,
     places: Places,
@@ -153,8 +214,10 @@ def run(
     places: Places,
     layouts: dict[str, Layout] = STANDARD,
     copy: bool = False,
+    multi_line: bool = False,
+    strict: bool = False,
 ) -> dict[str, int]:
     """All stages in order. Returns the validated row counts."""
-    land(spark, places)
+    land(spark, places, multi_line=multi_line, strict=strict)
     transform(spark, places, layouts)
     return checks.none_empty(load(spark, places, layouts, copy))

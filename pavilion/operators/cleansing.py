@@ -32,14 +32,25 @@ def _values(kinds: dict[str, str], required: tuple[str, ...]) -> dict[str, Colum
     }
 
 
-def refused(raw: DataFrame, kinds: dict[str, str], required: tuple[str, ...]) -> DataFrame:
-    """The rows that :func:`typed` drops, as they came, and why in ``_reason``."""
+def refusals(required: tuple[str, ...], kinds: dict[str, str]) -> dict[str, Column]:
+    """Why :func:`typed` drops a row: the possible reasons, each with its condition."""
     values = _values(kinds, required)
-    reasons = []
+    reasons = {}
     for c in required:
-        why = F.when(F.col(c).isNull(), f"{c} is missing")
-        reasons.append(why.when(values[c].isNull(), f"{c} is no whole number") if c in values else why)
-    return raw.withColumn("_reason", F.concat_ws("; ", *reasons)).where("_reason != ''")
+        reasons[f"{c} is missing"] = F.col(c).isNull()
+        if c in values:
+            reasons[f"{c} is no whole number"] = F.col(c).isNotNull() & values[c].isNull()
+    return reasons
+
+
+def refusal(required: tuple[str, ...], kinds: dict[str, str]) -> Column:
+    """The reasons of a row in one text, empty for a row that :func:`typed` takes."""
+    return F.concat_ws("; ", *[F.when(wrong, reason) for reason, wrong in refusals(required, kinds).items()])
+
+
+def refused(raw: DataFrame, kinds: dict[str, str], required: tuple[str, ...]) -> DataFrame:
+    """The rows that :func:`typed` drops, as they came, and why in ``_reason``."""
+    return raw.withColumn("_reason", refusal(required, kinds)).where("_reason != ''")
 
 
 def with_values(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

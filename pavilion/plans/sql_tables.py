@@ -1,7 +1,8 @@
 """The match dimension and the delivery fact in SQL, created from raw tables.
 
-The raw tables hold text without repeats, and the deliveries carry their season.
-On such input the results equal `dimensions.matches` and `facts.deliveries`.
+The raw tables hold text without repeats, and the deliveries carry their season. Their
+text becomes values by the same expressions as everywhere else, and rows without a key
+are left out, so that the results equal `dimensions.matches` and `facts.deliveries`.
 """
 
 from __future__ import annotations
@@ -9,26 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from pavilion import schemas
+from pavilion.operators import cleansing
+from pavilion.plans import dimensions
+from pavilion.schemas import quoted
 from pavilion.session import many_folders
 from pavilion.sinks.layout import STANDARD
 
+MATCHES = f"SELECT {', '.join(schemas.columns('dim_matches'))} FROM {{matches}}"
 
-def _typed(kinds: dict[str, str], renames: dict[str, str] | None = None) -> str:
-    """Select list that casts raw text to the declared columns."""
-    forms = {"string": "{raw}", "date": "CAST(try_to_date({raw}, 'yyyy-MM-dd') AS date)"}
-    items = []
-    for name, kind in kinds.items():
-        raw = (renames or {}).get(name, name)
-        items.append(forms.get(kind, "try_cast({raw} AS {kind})").format(raw=raw, kind=kind) + f" AS {name}")
-    return ", ".join(items)
-
-
-MATCHES = f"""
-    SELECT {_typed(schemas.TABLES["dim_matches"], schemas.MATCH_RENAMES)}
-    FROM {{raw_matches}}
-"""
-
-# Numbers are cast once, in the inner query; the flags only name the results.
 DELIVERIES = f"""
     SELECT {", ".join(schemas.columns("fact_deliveries"))}
     FROM (
@@ -38,27 +27,29 @@ DELIVERIES = f"""
                if(batsman_runs = 6, 1, 0) AS is_six,
                if(total_runs = 0, 1, 0) AS is_dot_ball,
                if(player_dismissed IS NULL, 0, 1) AS is_wicket
-        FROM (SELECT season, {_typed(schemas.RAW_DELIVERIES)} FROM {{raw_deliveries}})
+        FROM {{deliveries}}
     )
 """
 
 
 def matches(raw_matches: DataFrame) -> DataFrame:
-    return raw_matches.sparkSession.sql(MATCHES, raw_matches=raw_matches)
+    rows = dimensions.match_rows(cleansing.typed_matches(raw_matches))
+    return raw_matches.sparkSession.sql(MATCHES, matches=rows)
 
 
 def deliveries(raw_deliveries: DataFrame) -> DataFrame:
-    return raw_deliveries.sparkSession.sql(DELIVERIES, raw_deliveries=raw_deliveries)
+    rows = cleansing.typed_deliveries(raw_deliveries)
+    return raw_deliveries.sparkSession.sql(DELIVERIES, deliveries=rows)
 
 
 def _create(database: str, table: str, rows: DataFrame) -> None:
     layout = STANDARD[table]
-    folders = f"PARTITIONED BY (`{layout.partition}`)" if layout.partition else ""
-    spread = layout.partition or ", ".join(layout.cluster)
+    folders = f"PARTITIONED BY ({quoted(layout.partition)})" if layout.partition else ""
+    spread = ", ".join(map(quoted, layout.together))
     with many_folders(rows.sparkSession):
         rows.sparkSession.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` USING PARQUET {folders} AS "
-            f"SELECT /*+ REBALANCE({spread}) */ * FROM {{rows}} SORT BY {', '.join(layout.order)}",
+            f"CREATE TABLE IF NOT EXISTS {quoted(database, table)} USING PARQUET {folders} AS "
+            f"SELECT /*+ REBALANCE({spread}) */ * FROM {{rows}} SORT BY {', '.join(map(quoted, layout.order))}",
             rows=rows,
         )
 

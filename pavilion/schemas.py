@@ -139,6 +139,11 @@ def columns(table: str) -> list[str]:
     return list(TABLES[table])
 
 
+def quoted(*parts: str) -> str:
+    """A name as SQL, its parts quoted."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
+
+
 def ddl(table: str) -> str:
     """Column list of a built table as DDL, e.g. ``"`team_id` bigint, ..."``."""
     return ", ".join(f"`{name}` {kind}" for name, kind in TABLES[table].items())

@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,6 +73,25 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def _settings(spark: SparkSession, **values: str | int) -> Iterator[None]:
+    """Within this block, these settings; names have ``__`` for dots."""
+    names = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def few_folders(spark: SparkSession):
+    """Within this block, a task writes to its few folders side by side, without sorting its rows first."""
+    return _settings(spark, spark__sql__maxConcurrentOutputFileWriters=4)
+
+
 @contextmanager
 def many_folders(spark: SparkSession) -> Iterator[None]:
     """Within this block, share the work on partition folders between the cores.
@@ -81,11 +102,28 @@ def many_folders(spark: SparkSession) -> Iterator[None]:
     """
     listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     smallest_task = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
-    before = {name: spark.conf.get(name) for name in (listing, smallest_task)}
-    spark.conf.set(listing, min(int(before[listing]), spark.sparkContext.defaultParallelism))
-    spark.conf.set(smallest_task, "64k")
-    try:
+    cores = min(int(spark.conf.get(listing)), spark.sparkContext.defaultParallelism)
+    with _settings(spark, **{listing: cores, smallest_task: "64k"}):
         yield
-    finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+
+
+_SHIPPED = "_pavilion_code_shipped"
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors' Python this package, once per application.
+
+    They need not have it installed, nor see the driver's folders.
+    """
+    context = spark.sparkContext
+    if getattr(context, _SHIPPED, False):
+        return
+    folder = tempfile.mkdtemp(prefix="pavilion-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    root = Path(__file__).parent
+    archive = f"{folder}/pavilion_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, str(Path(root.name) / path.relative_to(root)))
+    context.addPyFile(archive)
+    setattr(context, _SHIPPED, True)

@@ -13,14 +13,11 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSe
 from pyspark.sql import functions as F
 
 from pavilion import schemas
-from pavilion.session import many_folders
+from pavilion.schemas import quoted
+from pavilion.session import few_folders, many_folders
 from pavilion.sinks.layout import STANDARD, Layout, arranged
 
 
-def _name(*parts: str) -> str:
-    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
-
-
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -51,25 +48,46 @@ def write_parquet(
     return seen.get
 
 
+def write_routed(df: DataFrame, path: str, column: str, counts: Sequence[Column] = ()) -> dict[str, int]:
+    """Like `write_parquet`, every row in the folder of its value in ``column``, which has few.
+
+    All rows leave their own task, in one pass and without a shuffle. Without any rows,
+    the folder still has the columns.
+    """
+    rows, seen = _counted(df, counts)
+    with few_folders(df.sparkSession):
+        _writer(rows, Layout(column)).save(path)
+    found = seen.get
+    if not found["rows"]:
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+    return found
+
+
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """A database unless it exists, in ``location`` or the session's warehouse folder."""
     where = f"LOCATION {_text(location)}" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(database)} {where}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} {where}")
 
 
 def create_table(spark: SparkSession, database: str, table: str) -> None:
     """An empty table with the declared columns, unless it exists."""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_name(database, table)} ({schemas.ddl(table)}) USING PARQUET"
+        f"CREATE TABLE IF NOT EXISTS {quoted(database, table)} ({schemas.ddl(table)}) USING PARQUET"
     )
 
 
+def drop_table(spark: SparkSession, database: str, table: str) -> None:
+    """Drop a table, if the database and the table exist."""
+    if spark.catalog.databaseExists(database):
+        spark.sql(f"DROP TABLE IF EXISTS {quoted(database, table)}")
+
+
 def load_table(df: DataFrame, database: str, table: str, layout: Layout | None = None) -> int:
     """Replace a catalogue table by ``df``, laid out. Returns its number of rows."""
     layout = STANDARD[table] if layout is None else layout
     rows, seen = _counted(arranged(df, layout))
     with _folders(df, layout):
-        _writer(rows, layout).saveAsTable(_name(database, table))
+        _writer(rows, layout).saveAsTable(quoted(database, table))
     return seen.get["rows"]
 
 
@@ -78,8 +96,8 @@ def attach_table(
 ) -> None:
     """Make a written Parquet folder the content of a catalogue table, without a copy."""
     layout = STANDARD[table] if layout is None else layout
-    name = _name(database, table)
-    folders = f"PARTITIONED BY ({_name(layout.partition)})" if layout.partition else ""
+    name = quoted(database, table)
+    folders = f"PARTITIONED BY ({quoted(layout.partition)})" if layout.partition else ""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(
         f"CREATE TABLE {name} ({schemas.ddl(table)}) USING PARQUET {folders} LOCATION {_text(path)}"

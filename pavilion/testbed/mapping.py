@@ -80,3 +80,60 @@ def raw_matches(spark: SparkSession, folder: str) -> DataFrame:
 def raw_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     balls = spark.read.parquet(f"{folder}/lineitem.parquet")
     return _mapped(_with_repeats(balls, "l_orderkey"), DELIVERIES)
+
+
+# What careless writers of CSV files do to the raw text, as SQL that both engines accept.
+# Numbers with a fraction, unpadded dates, words for no value, keys that are none.
+_ID, _MATCH = "cast(id as bigint)", "cast(match_id as bigint)"
+_SLOPPY_DATE = (
+    "concat(substr(date, 1, 5), cast(cast(substr(date, 6, 2) as int) as string), '-', "
+    "cast(cast(substr(date, 9, 2) as int) as string))"
+)
+SLOPPY_MATCHES = {name: name for name in MATCHES} | {
+    "id": f"case when {_ID} % 11 = 3 then concat(id, '.0') when {_ID} % 17 = 5 then concat(id, '.5') "
+    f"when {_ID} % 19 = 7 then 'NA' else id end",
+    "date": f"case when {_ID} % 23 = 0 then 'unknown' when {_ID} % 5 = 0 then {_SLOPPY_DATE} else date end",
+    "winner": "coalesce(winner, 'NA')",
+    "win_by_runs": f"case when {_ID} % 7 = 0 then concat(win_by_runs, '.0') when {_ID} % 13 = 0 then 'NA' else win_by_runs end",
+}
+SLOPPY_DELIVERIES = {name: f'"{name}"' for name in DELIVERIES} | {
+    "match_id": f"case when {_MATCH} % 11 = 3 then concat(match_id, '.0') when {_MATCH} % 17 = 5 and inning = '2' "
+    f"then concat(match_id, '.5') when {_MATCH} % 19 = 8 then concat('A', match_id) else match_id end",
+    "batsman_runs": "case when ball = '1' then concat(batsman_runs, '.0') when ball = '6' and inning = '2' then 'x' "
+    "else batsman_runs end",
+    "total_runs": "case when ball = '5' then concat(total_runs, '.7') else total_runs end",
+    "player_dismissed": "coalesce(player_dismissed, 'NA')",
+}
+# Faults of a line, and the rows that have them.
+MATCH_FAULTS = {
+    "too many fields": f"{_ID} % 29 = 1",
+    "too few fields": f"{_ID} % 29 = 2",
+    "unclosed quote": f"{_ID} % 29 = 4",
+}
+DELIVERY_FAULTS = {
+    "too many fields": f"{_MATCH} % 31 = 1 and ball = '2'",
+    "too few fields": f"{_MATCH} % 31 = 1 and ball = '3'",
+    "unclosed quote": f"{_MATCH} % 31 = 1 and ball = '4'",
+}
+# What the last column comes out as: a short line has none, an unclosed quote this text.
+OPEN = "open"
+
+
+def sloppy_lines(raw: DataFrame, columns: dict[str, str], faults: dict[str, str]) -> DataFrame:
+    """Lines of a CSV file with such text and such faults; the column's name is the header."""
+    *most, last = columns
+    text = [F.coalesce(F.expr(sql.replace('"', "`")), F.lit("")).alias(c) for c, sql in columns.items()]
+    wrong = F.lit(None).cast("string")
+    for fault, rows in faults.items():
+        wrong = F.coalesce(wrong, F.when(F.expr(rows), F.lit(fault)))
+    row = raw.select(*text, wrong.alias("_wrong"))
+    line = F.concat_ws(",", *most)
+    ends = {
+        "too many fields": F.concat(F.col(last), F.lit(",EXTRA,MORE")),
+        "unclosed quote": F.lit(f'"{OPEN}'),
+    }
+    end = F.col(last)
+    for fault, text in ends.items():
+        end = F.when(F.col("_wrong") == fault, text).otherwise(end)
+    whole = F.when(F.col("_wrong") == "too few fields", line).otherwise(F.concat(line, F.lit(","), end))
+    return row.select(whole.alias(",".join(columns)))

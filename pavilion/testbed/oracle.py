@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pavilion import schemas
 from pavilion.testbed import mapping
 
 
@@ -214,6 +215,10 @@ CHECKS = {
     "dim_matches_sql": "SELECT * FROM dim_matches",
     "fact_deliveries_sql": "SELECT * FROM fact_deliveries",
     "csv_round_trip": "SELECT * FROM raw_deliveries",
+    "csv_multi_line": """
+        SELECT * REPLACE (venue || ', "' || city || '"' || chr(10)
+            || CASE WHEN CAST(id AS BIGINT) % 3 = 0 THEN chr(10) || chr(10) ELSE '' END || 'end' AS venue)
+        FROM raw_matches""",
     "table_round_trip": "SELECT * FROM dim_matches",
     "fact_by_season": "SELECT * FROM fact_deliveries",
     "created_matches": "SELECT * FROM dim_matches",
@@ -223,12 +228,87 @@ CHECKS = {
 }
 
 
-def _with_parts(sql: str) -> str:
+# ---- files with careless text and faulty lines -------------------------------
+
+
+def _as_read(columns: dict[str, str], faults: dict[str, str], raw: str) -> str:
+    """Rows of such a file as a reader sees them, with the fault of each."""
+    *most, last = columns
+    fault = " ".join(f"WHEN {rows} THEN '{name}'" for name, rows in faults.items())
+    read = ", ".join(f"nullif(nullif({sql}, 'NA'), '') AS \"{name}\"" for name, sql in columns.items() if name != last)
+    end = f"CASE fault WHEN 'too few fields' THEN NULL WHEN 'unclosed quote' THEN '{mapping.OPEN}' ELSE nullif(nullif({columns[last]}, 'NA'), '') END"
+    return f"""
+        SELECT {read}, {end} AS \"{last}\", fault
+        FROM (SELECT *, CASE {fault} END AS fault FROM ({raw}))"""
+
+
+def _whole(text: str, kind: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract({text}, '^([0-9]+)(\\.[0-9]*)?$', 1), '') AS {kind})"
+
+
+def _key(text: str) -> str:
+    return f"TRY_CAST(nullif(regexp_extract({text}, '^([0-9]+)(\\.0*)?$', 1), '') AS BIGINT)"
+
+
+def _cleansed(columns: dict[str, str], kinds: dict[str, str], key: str, source: str, required: tuple[str, ...] = ()) -> str:
+    forms = {key: _key(key)} | {c: _whole(f'"{c}"', k) for c, k in kinds.items() if k == "int"}
+    items = ", ".join(f'{forms.get(c, chr(34) + c + chr(34))} AS "{c}"' for c in columns)
+    keep = " AND ".join([f"{_key(key)} IS NOT NULL", *[f"{c} IS NOT NULL" for c in required]])
+    return f"SELECT DISTINCT {items} FROM {source} WHERE {keep}"
+
+
+_DATE = "TRY_CAST(regexp_replace(regexp_replace(date, '-([0-9])-', '-0\\1-'), '-([0-9])$', '-0\\1') AS DATE)"
+
+SLOPPY = PARTS | {
+    "sloppy_matches": _as_read(mapping.SLOPPY_MATCHES, mapping.MATCH_FAULTS, PARTS["raw_matches"]),
+    "sloppy_deliveries": _as_read(mapping.SLOPPY_DELIVERIES, mapping.DELIVERY_FAULTS, PARTS["raw_deliveries"]),
+    "clean_matches": _cleansed(mapping.SLOPPY_MATCHES, schemas.RAW_MATCHES, "id", "sloppy_matches"),
+    "clean_deliveries": _cleansed(
+        mapping.SLOPPY_DELIVERIES, schemas.RAW_DELIVERIES, "match_id", "sloppy_deliveries", ("batsman", "bowler")
+    ),
+    "dim_matches": PARTS["dim_matches"].replace("TRY_CAST(date AS DATE)", _DATE),
+}
+
+_REASONS = [
+    ("matches", "id is missing", "id IS NULL", f"{_key('id')} IS NULL"),
+    ("matches", "id is no whole number", f"id IS NOT NULL AND {_key('id')} IS NULL", "true"),
+    ("deliveries", "match_id is no whole number", f"{_key('match_id')} IS NULL", "true"),
+    ("deliveries", "bowler is missing", "bowler IS NULL", "true"),
+    *[("matches", fault, f"fault = '{fault}'", f"{_key('id')} IS NULL") for fault in mapping.MATCH_FAULTS],
+    *[
+        ("deliveries", fault, f"fault = '{fault}'", f"({_key('match_id')} IS NULL OR bowler IS NULL)")
+        for fault in mapping.DELIVERY_FAULTS
+    ],
+]
+_REJECTED = " UNION ALL ".join(
+    f"SELECT '{file}' AS file, '{reason}' AS reason, {refused} AS refused, count(*) AS row_count "
+    f"FROM sloppy_{file} WHERE {rows} GROUP BY ALL"
+    for file, reason, rows, refused in _REASONS
+)
+
+SLOPPY_CHECKS = {
+    "rejected_rows": _REJECTED,
+    "sloppy_dim_matches": "SELECT * FROM dim_matches",
+    "sloppy_dim_matches_sql": "SELECT * FROM dim_matches",
+    "sloppy_fact_deliveries": "SELECT * FROM fact_deliveries",
+    "sloppy_fact_deliveries_sql": "SELECT * FROM fact_deliveries",
+    "sloppy_batting_stats": "SELECT * FROM batting_stats",
+}
+
+
+def _with_parts(sql: str, parts: dict[str, str] = PARTS) -> str:
     """``sql`` preceded by all named parts; the engine skips the unused ones."""
-    parts = ", ".join(f"{name} AS ({body})" for name, body in PARTS.items())
-    return f"WITH {parts} {sql}"
+    named = ", ".join(f"{name} AS ({body})" for name, body in parts.items())
+    return f"WITH {named} {sql}"
+
+
+def _ordered(parts: dict[str, str]) -> dict[str, str]:
+    """Parts so that each uses only earlier ones: what is read comes first."""
+    first = [name for name in parts if name.startswith(("raw_", "sloppy_"))]
+    return {name: parts[name] for name in [*first, *(n for n in parts if n not in first)]}
 
 
 def statements() -> dict[str, str]:
     tables = {name: _with_parts(f"SELECT * FROM {name}") for name in PARTS}
-    return tables | {name: _with_parts(sql) for name, sql in (REPORTS | CHECKS).items()}
+    sloppy = {name: _with_parts(sql, _ordered(SLOPPY)) for name, sql in SLOPPY_CHECKS.items()}
+    return tables | sloppy | {name: _with_parts(sql) for name, sql in (REPORTS | CHECKS).items()}

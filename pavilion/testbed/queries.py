@@ -16,7 +16,7 @@ from pavilion.operators import cleansing
 from pavilion.operators.lookup import lookup
 from pavilion.plans import dimensions, facts, reports, sql_tables, stats
 from pavilion.session import scratch
-from pavilion.sinks import tables
+from pavilion.sinks import runs, tables
 from pavilion.sinks.layout import BY_SEASON
 from pavilion.sources import files
 from pavilion.testbed import mapping
@@ -155,7 +155,66 @@ def csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     at = places(spark, folder, "csv_round_trip")
     as_source_files(Tables(spark, folder), at)
     flow.land(spark, at)
-    return spark.read.parquet(f"{at.raw}/deliveries")
+    return spark.read.parquet(f"{at.raw}/deliveries").select(*schemas.RAW_DELIVERIES)
+
+
+# Line breaks inside quotes, quotes, commas: text that is written in quotes.
+_STORIES = "concat(venue, ', \"', city, '\"\n', case when cast(id as bigint) % 3 = 0 then '\n\n' else '' end, 'end')"
+
+
+def csv_multi_line(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw matches whose venue holds line breaks, written as CSV and read by byte ranges."""
+    at = places(spark, folder, "csv_multi_line")
+    raw = Tables(spark, folder).raw_matches.withColumn("venue", F.expr(_STORIES))
+    path = f"{at.source}/{schemas.MATCHES_FILE}"
+    raw.write.mode("overwrite").csv(path, header=True, escape='"')
+    return files.read_csv(spark, path, schemas.RAW_MATCHES, multi_line=True)
+
+
+def as_sloppy_files(t: Tables, at: flow.Places) -> None:
+    for raw, name, columns, faults in (
+        (t.raw_matches, "matches", mapping.SLOPPY_MATCHES, mapping.MATCH_FAULTS),
+        (t.raw_deliveries, "deliveries", mapping.SLOPPY_DELIVERIES, mapping.DELIVERY_FAULTS),
+    ):
+        lines = mapping.sloppy_lines(raw, columns, faults)
+        # The line is the only column: written as it is, below its header.
+        lines.write.mode("overwrite").csv(f"{at.source}/{flow.RAW[name][0]}", header=True, sep="\x01", quote="")
+
+
+def _sloppy(spark: SparkSession, folder: str) -> flow.Places:
+    """Places of a flow from files with careless text and faulty lines, and of the tables created in SQL from them."""
+
+    def work(at: flow.Places) -> None:
+        as_sloppy_files(Tables(spark, folder), at)
+        flow.land(spark, at)
+        flow.transform(spark, at, BY_SEASON)
+        for table in ("dim_matches", "fact_deliveries"):
+            tables.drop_table(spark, at.database, table)
+        flow.create(spark, at)
+
+    _once(spark, folder, "sloppy", work)
+    return places(spark, folder, "sloppy")
+
+
+def _sloppy_table(table: str, sql: bool) -> Callable[[SparkSession, str], DataFrame]:
+    """A table of that flow, or the one created in SQL from the same landed rows."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        at = _sloppy(spark, folder)
+        if sql:
+            return files.read_table(spark, at.database, table)
+        return files.read_parquet(spark, runs.latest(spark, at.processed).path, table)
+
+    return query
+
+
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """How many landed rows of those files have which fault, or were refused for which reason."""
+    at = _sloppy(spark, folder)
+    each = [spark.read.parquet(f"{at.raw}/{name}").select(F.lit(name).alias("file"), flow.REASON, flow.REFUSED) for name in flow.RAW]
+    rows = each[0].unionAll(each[1]).where(F.col(flow.REASON).isNotNull())
+    reasons = rows.select("file", F.explode(F.split(flow.REASON, "; ")).alias("reason"), (F.col(flow.REFUSED) == 1).alias("refused"))
+    return reasons.groupBy("file", "reason", "refused").agg(F.count("*").alias("row_count"))
 
 
 def _database(spark: SparkSession, places: flow.Places) -> str:
@@ -261,6 +320,10 @@ def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str],
 
 QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
     "csv_round_trip": csv_round_trip,
+    "csv_multi_line": csv_multi_line,
+    "rejected_rows": rejected_rows,
+    **{f"sloppy_{t}": _sloppy_table(t, sql=False) for t in ("dim_matches", "fact_deliveries", "batting_stats")},
+    **{f"sloppy_{t}_sql": _sloppy_table(t, sql=True) for t in ("dim_matches", "fact_deliveries")},
     "table_round_trip": table_round_trip,
     "fact_by_season": fact_by_season,
     "created_tables": created_tables,
