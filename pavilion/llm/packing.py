@@ -15,6 +15,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,17 +32,18 @@ from pavilion.llm.storage import stored
 
 LENGTH = 1024
 BUCKETS, DIMENSIONS, BITS = 64, 4, 15
-_REMEMBERED_WORDS = 150_000
+_REMEMBERED_WORDS = 300_000
 _LONG_TEXT = 1_000_000
 
-# Characters that Python and the tokenizers library sort alike into letters, numbers,
-# white space and the rest: Latin, Cyrillic and plain punctuation. Texts with others
-# are left to the library as a whole.
+# Characters of which this module knows the kind that a byte-level tokenizer sees in them:
+# ASCII, Latin, Cyrillic and plain punctuation. Texts with others are left to the library.
 _STRANGE = re.compile("[^\t-\r -~¡-ɏЀ-ҁ‐-‧]")
-# Words of a byte-level tokenizer: letters, numbers or other characters with a space
-# before them, endings such as 's, and white space.
+_CONTROL = re.compile("[\0-\x08\x0e-\x1f\x7f]")
+_LETTERS, _NUMBERS = "a-zA-ZªµºÀ-ÖØ-öø-ɏЀ-ҁ", "0-9²³¹¼½¾"
+# Words of such a tokenizer: letters, numbers or other characters with a space before
+# them, endings such as 's, and white space.
 _WORDS = re.compile(
-    r" ?[^\W\d_²³¹¼½¾]+|'(?:[stmd]|re|ve|ll)| ?(?:[^\s\w]|_)+| ?[\d²³¹¼½¾]+|\s+(?!\S)|\s+"
+    rf" ?[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[^\s{_LETTERS}{_NUMBERS}]+| ?[{_NUMBERS}]+|\s+(?!\S)|\s+"
 )
 # Where a word is sure to begin.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -88,14 +92,22 @@ class TextEncoder:
         self.words = _Words(self)
 
     def word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.library.model.tokenize(letters)], dtype=self.kind).tobytes()
+        # Printable ASCII stands for itself in the vocabulary, but for the space.
+        if word.isascii() and word.isprintable():
+            letters = word.replace(" ", self.letters[0x20])
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        ids = array(self.kind[-1] == "2" and "H" or "I", [t.id for t in self.library.model.tokenize(letters)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
     def text(self, text: str) -> bytes:
-        if not self.plain or any(m in text for m in self.marks) or _STRANGE.search(text):
+        strange = _STRANGE.search(text) if not text.isascii() else _CONTROL.search(text)
+        if not self.plain or strange or any(m in text for m in self.marks):
             return self.whole(text)
         if len(text) <= _LONG_TEXT:
             return b"".join(map(self.words.__getitem__, _WORDS.findall(text)))
@@ -118,18 +130,21 @@ def _encoder(told: str) -> TextEncoder:
     return _ENCODERS[told]
 
 
-def _hashed(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and sign of every id."""
+def _hashed(size: int) -> np.ndarray:
+    """Bucket of every id; those that count down have theirs behind all that count up."""
     mixed = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)
-    return (mixed % np.uint64(BUCKETS)).astype(np.int64), np.where(mixed >> np.uint64(20) & np.uint64(1), 1.0, -1.0)
+    return (mixed % np.uint64(2 * BUCKETS)).astype(np.int64)
 
 
-def vector(ids: np.ndarray, buckets: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """Signed token counts by bucket, damped, at length 127, as whole numbers."""
-    counts = np.bincount(buckets[ids], weights=signs[ids], minlength=BUCKETS)
+def vectors(found: list[np.ndarray], buckets: np.ndarray) -> np.ndarray:
+    """A row for each document: signed token counts by bucket, damped, at length 127, as whole numbers."""
+    docs = np.repeat(np.arange(len(found)) * 2 * BUCKETS, [len(f) for f in found])
+    ids = np.concatenate([*found, np.zeros(0, np.uint16)])
+    counts = np.bincount(docs + buckets[ids], minlength=2 * BUCKETS * len(found)).reshape(-1, 2, BUCKETS)
+    counts = counts[:, 0] - counts[:, 1]
     damped = np.sign(counts) * np.sqrt(np.abs(counts))
-    size = np.sqrt(damped @ damped)
-    return np.rint(127 * damped / size if size else damped).astype(np.int8)
+    sizes = np.sqrt(np.einsum("ij,ij->i", damped, damped))
+    return np.rint(127 * damped / np.where(sizes > 0, sizes, 1)[:, None]).astype(np.int8)
 
 
 def _encode(told: str, end_id: int) -> Callable:
@@ -137,7 +152,7 @@ def _encode(told: str, end_id: int) -> Callable:
         encoder = _encoder(told)
         wide = np.dtype(encoder.kind)
         size = encoder.library.get_vocab_size(with_added_tokens=True)
-        buckets, signs = _hashed(max(size, end_id + 1, 1 << 16))
+        buckets = _hashed(max(size, end_id + 1, 1 << 16))
         last = np.array([end_id], dtype=wide).tobytes()
         for batch in batches:
             for part, texts in arrays.parts(batch, "text"):
@@ -148,7 +163,7 @@ def _encode(told: str, end_id: int) -> Callable:
                     id=part["id"],
                     ids=pa.array([p + last for p in packed], pa.binary()),
                     tokens=pa.array([len(f) + 1 for f in found], pa.int64()),
-                    vector=pa.array([vector(f, buckets, signs).tobytes() for f in found], pa.binary()),
+                    vector=pa.array([v.tobytes() for v in vectors(found, buckets)], pa.binary()),
                 )
 
     return encode
@@ -253,24 +268,24 @@ def _cut(length: int, kind: str, names: list[str]) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, packed in arrays.parts(batch, "ids"):
-                source, starts, sizes, pieces, tokens, sequences, offsets = [], [], [], [], [], [], []
-                for i, (raw, position) in enumerate(zip(packed, part["position"].to_pylist(), strict=True)):
-                    ids = np.frombuffer(raw, dtype=kind).astype("<u4")
-                    start = 0
-                    while start < len(ids):
-                        sequence, offset = divmod(position + start, length)
-                        size = min(length - offset, len(ids) - start)
-                        source.append(i)
-                        starts.append(start)
-                        sizes.append(size)
-                        pieces.append(ids[start : start + size].tobytes())
-                        tokens.append(len(ids))
-                        sequences.append(sequence)
-                        offsets.append(offset)
-                        start += size
-                long = lambda values: pa.array(values, pa.int64())
-                columns = [part["id"].take(long(source)), long(starts), long(sizes), pa.array(pieces, pa.binary())]
-                columns += [long(tokens), long(sequences), long(offsets)]
+                ids = np.frombuffer(b"".join(packed), dtype=kind).astype("<u4")
+                tokens = np.array([len(p) for p in packed], dtype=np.int64) // np.dtype(kind).itemsize
+                before = np.cumsum(tokens) - tokens
+                position = part["position"].to_numpy().astype(np.int64)
+                # A document has a piece in every sequence that it reaches into.
+                counts = (position + tokens - 1) // length - position // length + 1
+                source = np.repeat(np.arange(len(tokens)), counts)
+                sequence = position[source] // length + np.arange(len(source)) - np.repeat(np.cumsum(counts) - counts, counts)
+                begin = np.maximum(position[source], sequence * length)
+                end = np.minimum((position + tokens)[source], (sequence + 1) * length)
+                start = begin - position[source]
+                places = 4 * (before[source] + start)
+                raw = memoryview(ids).cast("B")
+                pieces = [raw[a:b] for a, b in zip(places.tolist(), (places + 4 * (end - begin)).tolist(), strict=True)]
+                columns = [part["id"].take(pa.array(source)), start, end - begin, np.fromiter(map(zlib.crc32, pieces), np.int64, len(pieces))]
+                columns += [tokens[source], sequence, begin - sequence * length]
+                if len(names) > len(columns):
+                    columns.append(pa.array(map(bytes, pieces), pa.binary()))
                 yield workers.batch(**dict(zip(names, columns, strict=True)))
 
     return cut
@@ -283,13 +298,14 @@ def packed(
     text_column: str = "text",
     length: int = LENGTH,
     end_id: int = 0,
+    with_ids: bool = True,
 ) -> DataFrame:
     """Pieces of documents that fill sequences of ``length`` ids without a gap.
 
     One row per piece: the document's id under its own name, ``start`` (its ids
-    before the piece), ``length``, ``ids`` (little-endian unsigned 32-bit numbers),
-    ``doc_tokens`` (all its ids, with the end id), ``sequence_id`` and ``offset``.
-    Sequences count from 0; each but the last holds exactly ``length`` ids.
+    before the piece), ``length``, ``ids_crc32`` (checksum of ``ids``), ``doc_tokens``
+    (all its ids, with the end id), ``sequence_id``, ``offset`` and, unless left out,
+    ``ids`` themselves (little-endian unsigned 32-bit numbers). Sequences count from 0; each but the last holds exactly ``length`` ids.
 
     ``tokenizer`` is the path of a file of the tokenizers library; the driver reads it.
     A null or empty text is its end id alone. A very long text runs through as many
@@ -297,7 +313,7 @@ def packed(
     own; equal texts are neighbours. An empty table gives no rows. Other columns play no
     part, whatever their names; an id column with the name of another result is refused.
     """
-    names = [id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    names = [id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     if len({n.lower() for n in names}) < len(names):
         raise ValueError(f"the id column cannot be called {id_column}")
     with open(tokenizer, encoding="utf-8") as file:
@@ -310,16 +326,17 @@ def packed(
     id_type = plain.schema["id"].dataType
     fields = [("row", T.LongType()), ("id", id_type), ("ids", T.BinaryType()), ("tokens", T.LongType()), ("vector", T.BinaryType())]
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
-    encoded = stored(workers.mapped(plain, _encode(told, end_id), schema), "encoded")
+    # Hardly any two rows have equal ids: looking for them would be in vain.
+    plainly = {"parquet.enable.dictionary": "false"}
+    encoded = stored(workers.mapped(plain, _encode(told, end_id), schema), "encoded", **plainly)
     keyed = workers.mapped(
         encoded.select("row", "tokens", "vector"), _keys(*projection(encoded)), "row long, key long, tokens long"
     )
     # Ids go to their positions: only the narrow side is held in memory, a share of it in each task.
     meet = encoded.select("row", "id", "ids").join(positions(keyed).hint("shuffle_hash"), "row")
-    long, binary = T.LongType(), T.BinaryType()
-    kinds = [id_type, long, long, binary, long, long, long]
-    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, kinds, strict=True)])
-    return workers.mapped(meet.select("id", "ids", "position"), _cut(length, kind, names), schema)
+    kinds = [id_type, *[T.LongType()] * 6, T.BinaryType()]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, kinds, strict=True)][: len(names) - (not with_ids)])
+    return workers.mapped(meet.select("id", "ids", "position"), _cut(length, kind, schema.names), schema)
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
@@ -330,9 +347,3 @@ def sequences(pieces: DataFrame) -> DataFrame:
     piece = F.struct("offset", F.hex("ids").alias("ids"))
     joined = pieces.groupBy("sequence_id").agg(F.sum("length").alias("tokens"), F.sort_array(F.collect_list(piece)).alias("pieces"))
     return joined.select("sequence_id", "tokens", F.unhex(F.array_join(F.col("pieces.ids"), "")).alias("ids"))
-
-
-def checksums(ids_column: str = "ids"):
-    """CRC-32 of packed ids, as a column."""
-    return F.crc32(F.col(ids_column))
-

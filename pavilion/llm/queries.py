@@ -175,10 +175,7 @@ FROM p LEFT JOIN f USING (payload_digest)
 
 def op11_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
     """``documents`` packed into sequences of 1024 ids along a Hilbert curve."""
-    pieces = packing.packed(_table(spark, folder, "documents"), tokenizer_path())
-    return pieces.select(
-        "doc_id", "start", "length", packing.checksums().alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    return packing.packed(_table(spark, folder, "documents"), tokenizer_path(), with_ids=False)
 
 
 def op12_refined_whitening(spark: SparkSession, folder: str) -> DataFrame:

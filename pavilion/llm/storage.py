@@ -17,14 +17,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
     Later steps read exactly these rows, whatever executor is lost in between,
-    and plan with their true size.
+    and plan with their true size. ``options`` are those of the Parquet writer.
     """
     spark, path = df.sparkSession, new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

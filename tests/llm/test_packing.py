@@ -38,7 +38,7 @@ def check(pieces, expected, length):
     by_sequence, by_doc = {}, {}
     for p in pieces:
         ids = np.frombuffer(p.ids, "<u4").tolist()
-        assert len(ids) == p.length and 0 < p.length <= length
+        assert len(ids) == p.length and 0 < p.length <= length and p.ids_crc32 == zlib.crc32(p.ids)
         by_doc.setdefault(p.doc_id, []).append((p.start, ids, p.doc_tokens))
         by_sequence.setdefault(p.sequence_id, []).append((p.offset, p.length))
     assert by_doc.keys() == expected.keys()
