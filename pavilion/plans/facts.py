@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pavilion import schemas
 from pavilion.functions.flags import delivery_flags
-from pavilion.operators.lookup import SALTS, lookup
+from pavilion.operators.lookup import lookup
 
 FACT = schemas.columns("fact_deliveries")
 
@@ -23,22 +23,25 @@ def flagged(rows: DataFrame) -> DataFrame:
     return rows.withColumns(flags).select(*[c for c in FACT if c in present])
 
 
-def with_season(rows: DataFrame, matches: DataFrame, salts: int = SALTS) -> DataFrame:
+def with_season(
+    rows: DataFrame, matches: DataFrame, salts: int | None = None, like: DataFrame | None = None
+) -> DataFrame:
     """Add the season of each row's match; NULL where the match is unknown.
 
-    ``matches`` is the match dimension, or just its key and season.
+    ``matches`` is the match dimension, or just its key and season. ``salts`` and
+    ``like`` are those of `lookup`.
     """
     seasons = matches.select("match_id", F.col("season_year").alias("season"))
-    return lookup(rows, seasons, "match_id", salts)
+    return lookup(rows, seasons, "match_id", salts, like)
 
 
-def deliveries(clean: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row per cleansed delivery.
+def deliveries(clean: DataFrame, matches: DataFrame, like: DataFrame | None = None) -> DataFrame:
+    """One row per cleansed delivery. ``like``: the same rows before repeats were removed.
 
     The season is always the one of the match: a season column of the raw file
     is left out. Flags are added after the join, which then moves fewer columns.
     """
-    return flagged(with_season(unseasoned(clean), matches))
+    return flagged(with_season(unseasoned(clean), matches, like=like))
 
 
 def unseasoned(clean: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from pavilion import schemas
 from pavilion.functions import rates
-from pavilion.operators.lookup import SALTS
 from pavilion.plans.facts import with_season
 
 
@@ -33,7 +32,8 @@ def per_season(
         *[total.alias(name) for name, total in totals.items()]
     )
     # Without further keys there is one row per match, which needs no salting.
-    seasoned = with_season(by_match, matches, SALTS if keys else 0)
+    # Hot matches are looked for among the balls, whose shuffle is shared.
+    seasoned = with_season(by_match, matches, None if keys else 0, like=rows)
     return (
         seasoned.groupBy(*keys, "season")
         .agg(*[F.sum(name).alias(name) for name in totals], F.count("match_id").alias(matches_as))

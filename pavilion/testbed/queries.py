@@ -64,7 +64,7 @@ class Tables:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return facts.deliveries(self.clean_deliveries, self.seasons)
+        return facts.deliveries(self.clean_deliveries, self.seasons, self.typed_deliveries)
 
     @cached_property
     def matches_as_text(self) -> DataFrame:

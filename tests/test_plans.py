@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pavilion import session
 from pavilion.operators import cleansing
-from pavilion.operators.lookup import lookup
+from pavilion.operators.lookup import hot_keys, lookup
 from pavilion.operators.ranking import top_per_group
 from pavilion.plans import facts, reports
 from pavilion.sinks import tables
@@ -146,6 +146,40 @@ def test_salts_spread_a_hot_match_without_adaptive_execution(spark, hot, conf):
     assert sizes.agg(F.max("count")).first()[0] <= 8000 * 0.6
 
 
+@pytest.mark.parametrize("share", [1, 3])
+def test_no_task_gets_a_sixteenth_of_a_hot_match(spark, hot, conf, share):
+    """All rows, or a third of them, belong to one match; the others have one each."""
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="32")
+    key = F.when(F.col("id") % share == 0, 1).otherwise(F.col("id")).alias("match_id")
+    rows = spark.range(24000).select(key, F.col("id").alias("ball"))
+    matches = spark.range(24000).select(F.col("id").alias("match_id"), F.lit("2009").alias("season"))
+    joined = lookup(rows, matches, "match_id")
+    sizes = joined.where("match_id = 1").groupBy(F.spark_partition_id()).count()
+    n = 24000 // share
+    assert sizes.agg(F.max("count")).first()[0] <= n / 16 and joined.count() == 24000
+
+
+def test_only_hot_keys_are_repeated(spark, hot, conf):
+    conf(spark__sql__shuffle__partitions="8")
+    key = F.when(F.col("id") % 2 == 0, 5).when(F.col("id") % 16 == 1, None).otherwise(F.col("id")).alias("k")
+    rows = spark.range(16000).select(key, F.col("id").alias("v"))
+    found = {r.k: r.salts for r in hot_keys(rows, "k").collect()}
+    # 8000 of 15000 rows with a key, in shares of an eighth.
+    assert set(found) == {5} and abs(found[5] - 64 * 8 * 8000 / 15000) < 2
+    assert [r.salts for r in hot_keys(rows, "k", most=3).collect()] == [3]
+    assert hot_keys(rows.where("k IS NULL"), "k").count() == 0
+    table = spark.range(16000).select(F.col("id").alias("k"), F.lit("x").alias("x"))
+    assert lookup(rows, table, "k").groupBy("x").count().collect() == rows.join(table, "k", "left").groupBy("x").count().collect()
+
+
+def test_small_tables_are_joined_as_they_are(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="10m")
+    rows = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
+    table = spark.range(2).select(F.col("id").alias("k"), F.lit("x").alias("x"))
+    text = plan(lookup(rows, table, "k"))
+    assert "BroadcastHashJoin" in text and "Generate" not in text and "approx_top_k" not in text
+
+
 def test_season_lookup_of_the_fact_shuffles_no_flags(spark, hot):
     text = plan(Tables(spark, FOLDER).fact)
     join = text.index("SortMergeJoin")
