@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pavilion import checks, schemas
 from pavilion.operators import cleansing
 from pavilion.plans import dimensions, facts, sql_tables, stats
-from pavilion.sinks import runs, tables
+from pavilion.sinks import runs, switch, tables
 from pavilion.sinks.layout import STANDARD, Layout
 from pavilion.sources import files
 
@@ -182,14 +182,16 @@ def load(
 
     The tables are put on top of the run's folders, in the layout it was written
     with. With ``copy`` the database gets rows of its own, in ``layouts`` or the
-    standard ones; all are written before the first table is switched. The counts
-    are those of the switched tables and must equal what the transform wrote.
+    standard ones. The counts are those of the new tables and must equal what the
+    transform wrote; only then are all seven tables switched, or none (see
+    `sinks.switch`). A switch that an earlier load left half-way is finished first.
     """
     run = runs.latest(spark, places.processed)
     partitions = run.partitions
     if layouts and not copy and {t: layouts[t].partition for t in STANDARD} != partitions:
         raise ValueError(f"{run.path} has another layout; transform again, or load with copy")
     tables.create_database(spark, places.database, places.tables)
+    switch.complete(spark, places.database, list(STANDARD))
     folder, kept_in = run.path, places.processed
     if copy:
         layouts = layouts or STANDARD
@@ -200,12 +202,18 @@ def load(
             df = files.read_parquet(spark, run.path, table)
             rows = tables.write_parquet(df, f"{folder}/{table}", layouts[table])["rows"]
             log.info("copied %s: %s rows", table, rows)
-    for table in STANDARD:
-        layout = Layout(partitions[table])
-        tables.attach_table(spark, places.database, table, f"{folder}/{table}", layout)
-        log.info("attached %s", table)
-    loaded = checks.row_counts(spark, places.database)
-    checks.same_counts(run.rows, loaded)
+    names = {
+        table: switch.prepare(spark, places.database, table, f"{folder}/{table}", Layout(partitions[table]))
+        for table in STANDARD
+    }
+    try:
+        loaded = checks.row_counts(spark, places.database, names)
+        checks.same_counts(run.rows, loaded)
+    except Exception:
+        switch.give_up(spark, places.database, list(names))
+        raise
+    switch.switch(spark, places.database, list(names), folder)
+    log.info("%s shows %s", places.database, folder)
     runs.remove_older(spark, kept_in, folder.rpartition("/")[2])
     return loaded
 

@@ -6,6 +6,7 @@ from the write itself; nothing is read back to be counted.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from contextlib import AbstractContextManager, nullcontext
 
@@ -15,13 +16,10 @@ from pyspark.sql import functions as F
 from pavilion import schemas
 from pavilion.schemas import quoted
 from pavilion.session import few_folders, many_folders
+from pavilion.sinks import switch
 from pavilion.sinks.layout import STANDARD, Layout, arranged
 
 
-def _text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _counted(df: DataFrame, extra: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
     # The observation sits on top of the plan, in the tasks that write: what a
     # range shuffle samples below it is not counted.
@@ -65,7 +63,7 @@ def write_routed(df: DataFrame, path: str, column: str, counts: Sequence[Column]
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """A database unless it exists, in ``location`` or the session's warehouse folder."""
-    where = f"LOCATION {_text(location)}" if location else ""
+    where = f"LOCATION {switch.text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)} {where}")
 
 
@@ -83,25 +81,36 @@ def drop_table(spark: SparkSession, database: str, table: str) -> None:
 
 
 def load_table(df: DataFrame, database: str, table: str, layout: Layout | None = None) -> int:
-    """Replace a catalogue table by ``df``, laid out. Returns its number of rows."""
+    """Replace a catalogue table by ``df``, laid out. Returns its number of rows.
+
+    The rows are written to a folder of their own in the database's; the table has its
+    old ones until they are all there. ``df`` may read the table.
+    """
     layout = STANDARD[table] if layout is None else layout
-    rows, seen = _counted(arranged(df, layout))
-    with _folders(df, layout):
-        _writer(rows, layout).saveAsTable(quoted(database, table))
-    return seen.get["rows"]
+    spark = df.sparkSession
+    home = spark.catalog.getDatabase(database).locationUri.rstrip("/")
+    before = _folder(spark, database, table)
+    path = f"{home}/{table}-{uuid.uuid4().hex[:12]}"
+    rows = write_parquet(df, path, layout)["rows"]
+    attach_table(spark, database, table, path, layout)
+    if before and before.startswith(f"{home}/{table}-"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(before)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return rows
+
+
+def _folder(spark: SparkSession, database: str, table: str) -> str | None:
+    """Where a table's rows lie, if there is such a table."""
+    if not spark.catalog.tableExists(quoted(database, table)):
+        return None
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {quoted(database, table)}")
+    rows = told.where(F.col("col_name") == "Location").select("data_type").collect()
+    return rows[0][0].rstrip("/") if rows else None
 
 
 def attach_table(
     spark: SparkSession, database: str, table: str, path: str, layout: Layout | None = None
 ) -> None:
     """Make a written Parquet folder the content of a catalogue table, without a copy."""
-    layout = STANDARD[table] if layout is None else layout
-    name = quoted(database, table)
-    folders = f"PARTITIONED BY ({quoted(layout.partition)})" if layout.partition else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(
-        f"CREATE TABLE {name} ({schemas.ddl(table)}) USING PARQUET {folders} LOCATION {_text(path)}"
-    )
-    if layout.partition:
-        with many_folders(spark):
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    switch.prepare(spark, database, table, path, STANDARD[table] if layout is None else layout)
+    switch.switch(spark, database, [table], path)

@@ -208,6 +208,7 @@ _TABLES = [name for name in PARTS if not name.startswith(("raw_", "clean_"))]
 
 CHECKS = {
     "table_counts": " UNION ALL ".join(_COUNT.format(name) for name in _TABLES),
+    "load_after_failure": " UNION ALL ".join(_COUNT.format(name) for name in _TABLES),
     "created_tables": " UNION ALL ".join(
         [_COUNT.format("dim_matches"), _COUNT.format("fact_deliveries"),
          "SELECT 'dim_seasons' AS table_name, 0 AS row_count"]

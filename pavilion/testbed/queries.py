@@ -314,6 +314,28 @@ def flow_after_failure(spark: SparkSession, folder: str) -> DataFrame:
     raise AssertionError("a transform without deliveries columns did not fail")
 
 
+def load_after_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """Row counts of all tables after a load of a later run that lacks the files of its fact.
+
+    The later run holds fewer matches: its other tables are whole, and of other counts.
+    """
+    at = places(spark, folder, "load_after_failure")
+    t = Tables(spark, folder)
+    as_source_files(t, at)
+    flow.run(spark, at, BY_SEASON)
+    fewer = t.raw_matches.where("id LIKE '%1'")
+    fewer.write.mode("overwrite").csv(f"{at.source}/{schemas.MATCHES_FILE}", header=True, escape='"')
+    flow.land(spark, at)
+    flow.transform(spark, at, BY_SEASON)
+    lost = f"{runs.latest(spark, at.processed).path}/fact_deliveries"
+    spark.createDataFrame([], schemas.struct("fact_deliveries")).write.mode("overwrite").parquet(lost)
+    try:
+        flow.load(spark, at)
+    except checks.WrongCount:
+        return checks.counts({name: files.read_table(spark, at.database, name) for name in schemas.TABLES})
+    raise AssertionError("a load without the rows of the fact did not fail")
+
+
 def _query(plan: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: plan(Tables(spark, folder))
 
@@ -330,5 +352,6 @@ QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
     "created_matches": _created("dim_matches"),
     "created_deliveries": _created("fact_deliveries"),
     "flow_after_failure": flow_after_failure,
+    "load_after_failure": load_after_failure,
     **{f"flow_{table}": _after_flow(table) for table in schemas.TABLES},
 }

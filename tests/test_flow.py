@@ -8,7 +8,7 @@ import pytest
 
 from pavilion import checks, flow, schemas
 from pavilion.plans.reports import REPORTS, report
-from pavilion.sinks import runs, tables
+from pavilion.sinks import runs, switch, tables
 from pavilion.sinks.layout import BY_SEASON, STANDARD
 from pavilion.sources import files
 
@@ -133,6 +133,95 @@ def test_load_refuses_missing_rows(spark, places):
         flow.load(spark, places)
 
 
+def test_a_switch_that_fails_is_taken_back(spark, places, monkeypatch, source):
+    """Whichever renaming it fails at; all seven tables are of the run before."""
+    flow.run(spark, places, BY_SEASON)
+    before = _content(spark, places.database)
+    source(MATCHES[:1], DELIVERIES[:12], places.source)
+    flow.land(spark, places)
+    flow.transform(spark, places, BY_SEASON)
+    rename = switch._rename
+    for step in range(2 * len(schemas.TABLES)):
+        calls = iter(range(100))
+
+        def failing(*arguments, step=step, calls=calls):
+            if next(calls) == step:
+                raise OSError("no catalogue")
+            rename(*arguments)
+
+        with monkeypatch.context() as patch, pytest.raises(OSError, match="no catalogue"):
+            patch.setattr(switch, "_rename", failing)
+            flow.load(spark, places)
+        assert _content(spark, places.database) == before
+        names = {t.name for t in spark.catalog.listTables(places.database)}
+        assert names == set(schemas.TABLES) and not switch.note(spark, places.database, switch.GOING)
+    assert flow.load(spark, places)["fact_deliveries"] == 12
+
+
+def test_a_switch_that_broke_off_is_finished_by_the_next_load(spark, places, monkeypatch, source):
+    """The session ends half-way, so that nothing is taken back."""
+    flow.run(spark, places, BY_SEASON)
+    source(MATCHES[:1], DELIVERIES[:12], places.source)
+    flow.land(spark, places)
+    flow.transform(spark, places, BY_SEASON)
+    rename, steps = switch._rename, [0, 1, 4, 7, 13]
+    for step in steps:
+        calls = iter(range(100))
+
+        def ending(*arguments, step=step, calls=calls):
+            if next(calls) >= step:
+                raise KeyboardInterrupt
+            rename(*arguments)
+
+        with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+            patch.setattr(switch, "_rename", ending)
+            flow.load(spark, places)
+        going = switch.note(spark, places.database, switch.GOING)
+        assert going == runs.latest(spark, places.processed).path
+        # Another run is newest by now; the one that was under way is put in place whole.
+        assert switch.complete(spark, places.database, list(schemas.TABLES)) == going
+        assert checks.row_counts(spark, places.database)["fact_deliveries"] == 12
+        assert {t.name for t in spark.catalog.listTables(places.database)} == set(schemas.TABLES)
+        assert switch.note(spark, places.database, switch.CURRENT) == going
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(switch, "_rename", ending)
+        flow.load(spark, places)
+    assert flow.load(spark, places)["fact_deliveries"] == 12
+
+
+def test_a_first_load_that_fails_leaves_no_table(spark, places, monkeypatch):
+    flow.land(spark, places)
+    flow.transform(spark, places)
+    rename, calls = switch._rename, iter(range(100))
+
+    def failing(*arguments):
+        if next(calls) == 3:
+            raise OSError("no catalogue")
+        rename(*arguments)
+
+    with monkeypatch.context() as patch, pytest.raises(OSError, match="no catalogue"):
+        patch.setattr(switch, "_rename", failing)
+        flow.load(spark, places)
+    assert spark.catalog.listTables(places.database) == []
+
+
+def test_a_table_is_replaced_by_rows_read_from_it(spark, places):
+    flow.run(spark, places)
+    tables.load_table(files.read_table(spark, places.database, "dim_teams").where("team_name = 'A'"), places.database, "dim_teams")
+    for _ in range(2):
+        teams = files.read_table(spark, places.database, "dim_teams")
+        assert [r.team_name for r in teams.collect()] == ["A"]
+        assert tables.load_table(teams, places.database, "dim_teams") == 1
+    home = spark.catalog.getDatabase(places.database).locationUri.removeprefix("file:")
+    assert len([f for f in os.listdir(home) if f.startswith("dim_teams-")]) == 1
+
+
+def test_paths_with_marks(spark, tmp_path, source):
+    at = flow.Places(source(MATCHES, DELIVERIES), str(tmp_path / "it's raw"), str(tmp_path / "it's, (out)"), "odd_paths")
+    assert flow.run(spark, at)["fact_deliveries"] == 36
+    assert switch.note(spark, "odd_paths", switch.CURRENT) == runs.latest(spark, at.processed).path
+
+
 def test_later_files_replace_earlier_rows(spark, places, source):
     flow.run(spark, places)
     source(MATCHES[:1], DELIVERIES[:12], places.source)
