@@ -16,17 +16,18 @@ import tempfile
 from pyspark.sql import functions as F
 
 from pavilion.session import open_session
-from pavilion.sinks.layout import BY_SEASON, STANDARD, Layout
+from pavilion.sinks.layout import BY_CURVE, BY_SEASON, STANDARD, Layout
 from pavilion.sinks.tables import write_parquet
 from pavilion.sources.files import read_parquet
 from pavilion.testbed.queries import Tables
 
 METRICS = {"number of files read": "files", "size of files read": "bytes", "number of output rows": "rows"}
-LAYOUTS = {"plain": {}, "standard": STANDARD, "by season": BY_SEASON}
+LAYOUTS = {"plain": {}, "standard": STANDARD, "by season": BY_SEASON, "by curve": BY_CURVE}
 FILTERS = {
     "one month of matches": ("dim_matches", "match_date BETWEEN '1995-03-01' AND '1995-03-31'"),
     "matches of one season": ("dim_matches", "season_year = '1995'"),
     "deliveries of one pairing": ("fact_deliveries", "batting_team = 'T3' AND bowling_team = 'T5'"),
+    "deliveries to one side": ("fact_deliveries", "bowling_team = 'T5'"),
     "deliveries of one season": ("fact_deliveries", "season = '1995'"),
 }
 
@@ -77,10 +78,10 @@ def main() -> None:
         "layout",
         f"local[{os.environ.get('BENCH_CPUS', '8')}]",
         spark__driver__memory="8g",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="64",
         # Small enough that the tables of a test machine fill several files and
         # row groups, as they do at scale.
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="2m",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="512k",
         spark__sql__files__openCostInBytes="64k",
         spark__hadoop__parquet__block__size=str(256 * 1024),
         spark__hadoop__parquet__page__row__count__limit="2000",

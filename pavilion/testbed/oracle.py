@@ -222,6 +222,7 @@ CHECKS = {
         FROM raw_matches""",
     "table_round_trip": "SELECT * FROM dim_matches",
     "fact_by_season": "SELECT * FROM fact_deliveries",
+    "fact_by_curve": "SELECT * FROM fact_deliveries",
     "created_matches": "SELECT * FROM dim_matches",
     "created_deliveries": "SELECT * FROM fact_deliveries",
     **{f"flow_{name}": f"SELECT * FROM {name}" for name in _TABLES},

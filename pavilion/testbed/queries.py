@@ -17,7 +17,7 @@ from pavilion.operators.lookup import lookup
 from pavilion.plans import dimensions, facts, reports, sql_tables, stats
 from pavilion.session import scratch
 from pavilion.sinks import runs, tables
-from pavilion.sinks.layout import BY_SEASON
+from pavilion.sinks.layout import BY_CURVE, BY_SEASON
 from pavilion.sources import files
 from pavilion.testbed import mapping
 
@@ -237,6 +237,13 @@ def fact_by_season(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_table(spark, database, "fact_deliveries")
 
 
+def fact_by_curve(spark: SparkSession, folder: str) -> DataFrame:
+    """The delivery fact as a table along a curve through both team columns."""
+    database = _database(spark, places(spark, folder, "fact_by_curve"))
+    tables.load_table(Tables(spark, folder).fact, database, "fact_deliveries", BY_CURVE["fact_deliveries"])
+    return files.read_table(spark, database, "fact_deliveries")
+
+
 # What has been done, by application and folder; queries of the same tables share it.
 _DONE: dict[tuple[str, str, str], str] = {}
 
@@ -348,6 +355,7 @@ QUERIES = {name: _query(plan) for name, plan in _PLANS.items()} | {
     **{f"sloppy_{t}_sql": _sloppy_table(t, sql=True) for t in ("dim_matches", "fact_deliveries")},
     "table_round_trip": table_round_trip,
     "fact_by_season": fact_by_season,
+    "fact_by_curve": fact_by_curve,
     "created_tables": created_tables,
     "created_matches": _created("dim_matches"),
     "created_deliveries": _created("fact_deliveries"),

@@ -209,6 +209,33 @@ def test_hot_folder_becomes_several_files(spark, tmp_path, hot):
     assert len(glob.glob(f"{path}/season=2009/*.parquet")) >= 4
 
 
+def test_files_along_a_curve_are_small_in_both_columns(spark, tmp_path, hot, conf):
+    """Filters on either column, or on both, meet few of the files; a hot pair fills several."""
+    conf(spark__sql__shuffle__partitions="64")
+    teams = [F.concat(F.lit("T"), (F.xxhash64("id", F.lit(i)) % 10 + 10).cast("string")) for i in (1, 2)]
+    df = spark.range(60000).select(*[t.alias(n) for t, n in zip(teams, ("a", "b"), strict=True)], F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    path = str(tmp_path / "curve")
+    tables.write_parquet(df.repartition(8), path, Layout(cluster=("a", "b"), curve=True))
+    stored = spark.read.parquet(path)
+    assert stored.count() == 60000 and stored.columns == ["a", "b", "text"]
+    files = stored.groupBy(F.input_file_name()).agg(*[f(c).alias(n + c) for c in "ab" for f, n in ((F.min, "low_"), (F.max, "high_"))]).collect()
+    assert len(files) >= 30
+    first, second = (sum(f[f"low_{c}"] <= "T3" <= f[f"high_{c}"] for f in files) for c in "ab")
+    both = sum(all(f[f"low_{c}"] <= "T3" <= f[f"high_{c}"] for c in "ab") for f in files)
+    assert max(first, second) < len(files) / 2 and both < len(files) / 6
+    skewed = df.withColumn("a", F.when(F.col("a") < "T15", "T1").otherwise("T2")).withColumn("b", F.lit("T1"))
+    path = str(tmp_path / "hot_curve")
+    tables.write_parquet(skewed.repartition(8), path, Layout(cluster=("a", "b"), curve=True))
+    assert spark.read.parquet(path).where("a = 'T1'").select(F.input_file_name()).distinct().count() >= 4
+
+
+@pytest.mark.parametrize("values", [[], [None], ["x"], ["x", None, "y"], [str(i) for i in range(500)]])
+def test_curves_of_any_values(spark, tmp_path, values):
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "a string, b int")
+    tables.write_parquet(df, str(tmp_path / "c"), Layout(cluster=("a", "b"), curve=True))
+    assert sorted(map(repr, spark.read.schema(df.schema).parquet(str(tmp_path / "c")).collect())) == sorted(map(repr, df.collect()))
+
+
 def test_rows_are_sorted_inside_files(spark, tmp_path, fact):
     built = fact(*[{"batting_team": t, "bowling_team": u, "ball": b} for t in "CAB" for u in "YX" for b in "12"])
     path = str(tmp_path / "fact")
