@@ -229,23 +229,28 @@ def _met(open_: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _rare_keys(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``members`` (id, n) under their rarest shingles: ``bucket``, ``id``, ``n``, ``indexed``.
-
-    Two sets of n and m <= n shingles that are alike have percent * n / 100 in
-    common, and 2 * percent * m / (100 + percent). So a common one is among the
-    first, in any fixed order, that are left over when as many less one are taken
-    away; those of the smaller set are ``indexed``. Rare ones come first in the order,
-    and the ones that nobody shares are no keys.
+    """``members`` (id, n) under their rarest shingles: ``bucket``, ``id``, ``n``, ``most``.
+
+    Put the shingles of all sets in one order, those that nobody shares first, then the
+    rare ones. If p shingles of a set of n lie before the first that it has in common
+    with a set of m, they have no more than n - p in common; to be alike they need
+    percent * (n + m) / (100 + percent). So under its p-th shingle a set need only meet
+    sets of ``most`` shingles at most, as it follows from p, and only if their own
+    ``most`` allows for it. Where that rules out every other one, there is no key.
     """
     own = sets.join(members.select("id"), "id", "left_semi").dropDuplicates(["id"])
     each = own.select("id", F.explode("shingles").alias("bucket"))
     shared = stored(each.groupBy("bucket").agg(F.count("*").alias("of")).where("of > 1"), "shared")
     common = each.join(shared, "bucket").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("of", "bucket"))).alias("common"))
-    met = F.expr(f"n - (n * {percent} + 99) DIV 100 + 1 - (n - size(common))")
-    indexed = F.expr(f"n - (2 * {percent} * n + {99 + percent}) DIV {100 + percent} + 1 - (n - size(common))")
-    first = F.slice("common", 1, F.greatest(met, F.lit(0)).cast("int"))
-    keys = common.join(members, "id").select("id", "n", indexed.alias("first"), F.posexplode(first).alias("pos", "key"))
-    return keys.select(F.col("key.bucket").alias("bucket"), "id", "n", (F.col("pos") < F.col("first")).alias("indexed"))
+    # Positions count the shingles that nobody shares; the smallest set that may be alike has percent * n / 100.
+    last = F.expr(f"n - (n * {percent} + 99) DIV 100 + 1 - (n - size(common))")
+    first = F.slice("common", 1, F.greatest(last, F.lit(0)).cast("int"))
+    keys = common.join(members, "id").select("id", "n", (F.col("n") - F.size("common")).alias("alone"), F.posexplode(first).alias("pos", "key"))
+    most = F.expr(f"({100 + percent} * (n - alone - pos) - {percent} * n) DIV {percent}")
+    keys = stored(keys.select(F.col("key.bucket").alias("bucket"), "id", "n", most.alias("most")), "keys")
+    # The smaller set of a pair must be allowed one of its own size.
+    small = keys.where("n <= most").groupBy("bucket").agg(F.min("n").alias("least"))
+    return keys.join(stored(small, "small"), "bucket").where("least <= most").drop("least")
 
 
 def _crossing(keys: DataFrame, groups: DataFrame) -> DataFrame:
@@ -253,7 +258,7 @@ def _crossing(keys: DataFrame, groups: DataFrame) -> DataFrame:
     named = keys.join(groups.withColumnRenamed("node", "id"), "id", "left")
     named = stored(named.withColumn("component", F.coalesce("component", "id")), "named")
     kinds = named.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or("indexed").alias("any")
+        F.min("component").alias("low"), F.max("component").alias("high"), F.bool_or(F.col("n") <= F.col("most")).alias("any")
     )
     open_ = kinds.where("low < high AND any").select("bucket")
     return stored(named.join(stored(open_, "crossing"), "bucket", "left_semi"), "open")
@@ -262,17 +267,15 @@ def _crossing(keys: DataFrame, groups: DataFrame) -> DataFrame:
 def _met_rarely(open_: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
     """Like :func:`_met`, under rare keys; hubs come from the components with the fewest members of a bucket."""
     few = stored(open_.groupBy("bucket", "component").agg(F.count("*").alias("few")), "few")
-    first = Window.partitionBy("bucket").orderBy("few", F.col("indexed").desc(), "id")
+    first = Window.partitionBy("bucket").orderBy("few", (F.col("n") <= F.col("most")).desc(), "id")
     hubs = open_.join(few, ["bucket", "component"]).withColumn("place", F.row_number().over(first))
     hubs = stored(
         hubs.where(F.col("place") <= count).select(
             "bucket", F.col("id").alias("hub"), F.col("n").alias("hn"), F.col("component").alias("with"),
-            F.col("indexed").alias("hub_indexed"),
+            F.col("most").alias("hub_most"),
         ), "hubs"
     )
-    smaller = F.when(F.col("n") < F.col("hn"), F.col("indexed")).when(F.col("n") > F.col("hn"), F.col("hub_indexed"))
-    due = F.coalesce(smaller, F.col("indexed") | F.col("hub_indexed"))
-    met = open_.join(hubs, "bucket").where(due & (F.col("component") != F.col("with")))
+    met = open_.join(hubs, "bucket").where("hn <= most AND n <= hub_most AND component != with")
     return met.select("bucket", "id", "n", "hub", "hn"), hubs
 
 
@@ -319,7 +322,7 @@ def _linked(documents: DataFrame, classes: DataFrame, percent: int) -> DataFrame
         done = done.union(tested.select("a", "b"))
         stars = groups.where("node > component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         groups = stored(components(stars.union(tested.where(alike).select("a", "b"))), "groups")
-        open_ = _crossing(_without_hubs(open_, hubs).select("bucket", "id", "n", "indexed"), groups)
+        open_ = _crossing(_without_hubs(open_, hubs).select("bucket", "id", "n", "most"), groups)
         count *= 2
     return groups
 
