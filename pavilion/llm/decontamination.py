@@ -2,9 +2,12 @@
 
 The corpus is cut into shards of some megabytes. Each shard gets a suffix array
 over its words: the suffixes that can begin a match, in the order of their first
-words. Every suffix of every benchmark item is then searched in it by bisection,
-which gives all places of its window and the longest verbatim match. Shards are
-independent, so there is no shuffle.
+words. Every distinct window of the benchmark is then searched in it by bisection,
+which gives the stretch of the order that begins with it. Stretches are marked as a
+whole, and a document meets an item once, however often either repeats a window.
+Inside the words so marked, the longest verbatim match of a document and an item is
+found from ranks of runs of 1, 2, 4, ... words. Shards are independent, so there is no
+shuffle.
 
 The benchmark is the query set and goes to the tasks in blocks of bounded size,
 one pass over the documents for each.
@@ -78,12 +81,17 @@ class Block:
         self.item = np.repeat(np.arange(len(items)), lengths)
         position = np.arange(len(hashes)) - self.first[:-1][self.item]
         # A window starts wherever a whole one fits; a shorter item is one window.
-        self.lengths = np.minimum(lengths, words)
-        self.at = np.flatnonzero(position <= np.maximum(lengths - words, 0)[self.item])
-        self.start = min(START_WORDS, int(self.lengths[lengths > 0].min(initial=START_WORDS)))
-        self.low = _keys(self.ids, self.ends, self.at, words)
-        self.high = _keys(self.ids, self.ends, self.at, words, 0xFFFFFFFF)
-        self.starts = np.unique(self._start_codes(self.ids)[self.at]) if len(self.at) else np.zeros(0, U)
+        at = np.flatnonzero(position <= np.maximum(lengths - words, 0)[self.item])
+        short = np.minimum(lengths, words)
+        self.start = min(START_WORDS, int(short[lengths > 0].min(initial=START_WORDS)))
+        # Distinct windows, and the items that have them. The fill tells a short window from a longer one.
+        self.low, one, same = np.unique(_keys(self.ids, self.ends, at, words), return_index=True, return_inverse=True)
+        self.high = _keys(self.ids, self.ends, at[one], words, 0xFFFFFFFF)
+        self.lengths = short[self.item[at[one]]]
+        owners = np.unique(same.astype(np.int64) * len(items) + self.item[at])
+        self.owner = owners % max(len(items), 1)
+        self.owned = np.searchsorted(owners // max(len(items), 1), np.arange(len(self.low) + 1))
+        self.starts = np.unique(self._start_codes(self.ids)[at]) if len(at) else np.zeros(0, U)
 
     def _start_codes(self, ids: np.ndarray) -> np.ndarray:
         n, factors = len(ids), arrays.multipliers(START_WORDS, 4)
@@ -92,16 +100,16 @@ class Block:
             codes[: max(0, n - j)] += ids[j:].astype(U) * factors[j]
         return codes
 
-    def search(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        """Word offsets of the texts, and all occurrences of windows in them.
+    def search(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Word offsets of the texts, their word ids, which words lie inside windows, and pairs of text and item.
 
-        Occurrences are word position, number of words matched from there on, and
-        the benchmark word position that matches.
+        A pair is there once if the item has a window that occurs in the text.
         """
         hashes, first = _words(texts)
         none = np.zeros(0, dtype=np.int64)
-        if not len(self.at) or not len(hashes):
-            return first, none, none, none
+        mask = np.zeros(len(hashes), dtype=bool)
+        if not len(self.low) or not len(hashes):
+            return first, none, mask, none, none
         place = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         ids = np.where(self.vocabulary[place] == hashes, place + 1, 0)
         ends = _ends(first)
@@ -109,29 +117,61 @@ class Block:
         near = np.minimum(np.searchsorted(self.starts, codes), len(self.starts) - 1)
         suffixes = np.flatnonzero(self.starts[near] == codes)
         if not len(suffixes):
-            return first, none, none, none
+            return first, ids, mask, none, none
         keys = _keys(ids, ends, suffixes, self.window)
         order = np.argsort(keys, kind="stable")
         suffixes, keys = suffixes[order], keys[order]
         lowest = np.searchsorted(keys, self.low, "left")
-        highest = np.searchsorted(keys, self.high, "right")
-        found = np.maximum(highest - lowest, 0)
+        highest = np.maximum(np.searchsorted(keys, self.high, "right"), lowest)
+        for length in np.unique(self.lengths).tolist():
+            own = (self.lengths == length) & (highest > lowest)
+            begin = suffixes[arrays.spans_to_mask(lowest[own], highest[own], len(suffixes))]
+            mask |= arrays.spans_to_mask(begin, begin + length, len(mask))
+        # A suffix begins with one window of each length at most, so this is no longer than the suffixes are.
+        found = highest - lowest
         which = np.repeat(np.arange(len(found)), found)
         inside = np.arange(len(which)) - np.repeat(np.cumsum(found) - found, found)
-        spot, test = suffixes[lowest[which] + inside], self.at[which]
-        return first, spot, self._longest(ids, ends, spot, test), test
-
-    def _longest(self, ids: np.ndarray, ends: np.ndarray, spot: np.ndarray, test: np.ndarray) -> np.ndarray:
-        """How many words agree, from the window on to the end of either text."""
-        length = self.lengths[self.item[test]].copy()
-        going = np.arange(len(spot))
-        while len(going):
-            a, b = spot[going] + length[going], test[going] + length[going]
-            inside = (a < ends[spot[going]]) & (b < self.ends[test[going]])
-            going, a, b = going[inside], a[inside], b[inside]
-            going = going[ids[a] == self.ids[b]]
-            length[going] += 1
-        return length
+        doc = np.searchsorted(first, suffixes[lowest[which] + inside], "right") - 1
+        met = np.unique(doc * len(self.low) + which)
+        doc, which = met // len(self.low), met % len(self.low)
+        counts = self.owned[which + 1] - self.owned[which]
+        inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        item = self.owner[np.repeat(self.owned[which], counts) + inside]
+        pairs = np.unique(np.repeat(doc, counts) * len(self.names) + item)
+        return first, ids, mask, pairs // len(self.names), pairs % len(self.names)
+
+    def longest(self, ids: np.ndarray, at: np.ndarray, item: int) -> tuple[int, int, int]:
+        """The longest run of words that a text shares with an item: where in the text, how long, where in the item.
+
+        ``at`` are the places of the text's marked words in ``ids``, in order. Of equally
+        long runs it is the first of the text, and there the first of the item.
+        """
+        gap = np.concatenate([np.flatnonzero(np.diff(at) > 1) + 1, [len(at)]])
+        words = np.insert(ids[at], gap, 0)  # runs do not go on over a gap
+        places = np.insert(at, gap, -1)
+        n, whole = len(words), np.concatenate([words, self.ids[self.first[item] : self.first[item + 1]]])
+
+        def common(ranks: np.ndarray, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+            """Codes of the runs of ``length`` in text and item; runs of ``size``, at least half of it, have ``ranks``."""
+            codes = ranks[: len(whole) - length + 1] * (len(whole) + 1) + ranks[length - size : len(whole) - size + 1]
+            return codes[: max(n - length + 1, 0)], codes[n:]
+
+        ranks, size = np.unique(whole, return_inverse=True)[1].astype(np.int64), 1
+        while 2 * size <= min(n, len(whole) - n):
+            doubled = arrays.paired_ranks(ranks[:-size], ranks[size:])
+            if not np.isin(*common(doubled, 2 * size, 2 * size)).any():
+                break
+            ranks, size = doubled, 2 * size
+        low, high = size, min(2 * size - 1, n, len(whole) - n)
+        while low < high:
+            middle = (low + high + 1) // 2
+            if np.isin(*common(ranks, size, middle)).any():
+                low = middle
+            else:
+                high = middle - 1
+        text, other = common(ranks, size, low)
+        start = int(np.isin(text, other).argmax())
+        return int(places[start]), low, int((other == text[start]).argmax())
 
 
 def _measure(block: Block, text: str, names: list[str], carried: bool) -> Callable:
@@ -140,11 +180,9 @@ def _measure(block: Block, text: str, names: list[str], carried: bool) -> Callab
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in arrays.parts(batch, text):
-                first, spot, length, test = block.search(texts)
-                window = block.lengths[block.item[test]]
-                doc = np.searchsorted(first, spot, "right") - 1
-                total = int(first[-1])
-                mask = arrays.spans_to_mask(spot, spot + window, total)
+                first, ids, mask, docs, found = block.search(texts)
+                plain = np.flatnonzero(mask)
+                ranges = np.searchsorted(plain, first)
                 old = {n: part[n].to_pylist() for n in names[1:]} if carried else {}
                 if carried:
                     for i, spans in enumerate(old[names[1]]):
@@ -160,18 +198,13 @@ def _measure(block: Block, text: str, names: list[str], carried: bool) -> Callab
                         if stop > a:
                             spans[i].append({"start": int(a - first[i]), "end": int(stop - first[i])})
                         a, i = stop, i + 1
-                # A match is told once, from where it begins.
-                seen = set(zip(spot.tolist(), test.tolist(), strict=True))
                 items: list[set] = [set() for _ in rows]
-                for d, s, n, t in zip(doc.tolist(), spot.tolist(), length.tolist(), test.tolist(), strict=True):
-                    item = int(block.item[t])
-                    if block.names[item] is not None:
-                        items[d].add(block.names[item])
-                    if (s - 1, t - 1) not in seen or s == first[d] or t == block.first[item]:
-                        start = s - int(first[d])
-                        rows[d].append(
-                            {"start": start, "words": n, "item": block.names[item], "item_start": t - int(block.first[item])}
-                        )
+                for d, item in zip(docs.tolist(), found.tolist(), strict=True):
+                    name = block.names[item]
+                    if name is not None:
+                        items[d].add(name)
+                    start, words, there = block.longest(ids, plain[ranges[d] : ranges[d + 1]], item)
+                    rows[d].append({"start": start - int(first[d]), "words": words, "item": name, "item_start": there})
                 if carried:
                     items = [a | set(b) for a, b in zip(items, old[names[2]], strict=True)]
                     rows = [b + a for a, b in zip(rows, old[names[3]], strict=True)]
@@ -218,8 +251,8 @@ def measured(
 
     ``n_words`` is the number of words; ``spans`` are the runs of words inside any
     occurrence of a benchmark window, ``items`` the sorted ids of items that have
-    one, and ``matches`` the longest verbatim matches: first word, number of
-    words, item and first word there. Words are letters a-z (A-Z lower-cased),
+    one, and ``matches`` the longest verbatim match with each such item: first word,
+    number of words, item and first word there (of equally long ones the first). Words are letters a-z (A-Z lower-cased),
     digits and everything beyond ASCII. A window is ``window_words`` consecutive
     words of an item, or all of a shorter item. Null texts have no words. An item
     without an id marks words but is not listed; repeated items count once, and so
@@ -249,6 +282,10 @@ def is_contaminated(n_words: str, spans: str):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
-    """The rows of ``docs`` that are not contaminated, unchanged."""
+    """The rows of ``docs`` that are not contaminated, unchanged.
+
+    Null and empty texts stay, and so do repeated rows, each judged alike; an empty
+    benchmark leaves all rows. Columns of any other name are carried along.
+    """
     result, (words, spans, *_) = measured(docs, benchmark, **columns)
     return result.where(~is_contaminated(words, spans)).select(*[F.col(f"`{c}`") for c in docs.columns])

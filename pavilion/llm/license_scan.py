@@ -146,6 +146,31 @@ CLASSES = ("reserved", "restricted", "copyleft", "permissive")
 _SOUNDS_LIKE = r"licen[cs]e|copyright|©|\(c\) |all rights|warrant|redistribut|permission|public domain|free software|you may|commercial|proprietary|unauthori|spdx|gnu |in no event shall"
 
 
+# Words of daily use sound like a licence too. An unknown sentence has the weight of one if it
+# says what only licences say, or if it allows, forbids or disclaims something about a work.
+_SURELY = (
+    r"\bspdx\b|all rights (?:are )?reserved|\bpublic domain\b|copyright (?:notice|holder|owner|\(c\)|©|\d)|(?:©|\(c\)) ?\d"
+    r"|\blicensed? (?:under|for use)\b|\blicense agreement|\bredistribut\w+|in no event shall|\bend[ -]user license|\bgnu (?:[a-z]+ )*public"
+    r"|^(?:an?|the|this) license\b"
+    r"|without (?:any |express or implied )?warrant|as is\b.*warrant|warrant.*\bas is\b"
+)
+_GRANTS = (
+    r"\blicense|\bcopyright|\bpermission|\bpermitted|\byou may\b|\bwarrant|\bproprietary\b|\bunauthori|\bcommercial"
+    r"|\bfree software|\ball rights\b|\bconfidential"
+)
+_WORKS = (
+    r"\b(?:software|source code|copyrighted|program code|object code|binary form|documentation)\b"
+    r"|\b(?:this|the|these|its|such) (?:\w+ )?(?:work|works|file|files|program|library|document|documents|material|materials|code|package|dataset|data set)\b"
+    r"|\b(?:copy|copies|reproduce[sd]?|reproduction|distribut\w+|modif\w+|sublicense|publish|resell|reuse|use) (?:\w+ ){0,6}(?:work|works|software|material|materials|content|document|text|copies|purposes|use)\b"
+    r"|\bterms (?:and conditions )?of (?:the|this|use)\b|\bderivative work"
+)
+
+
+def weighty(sentence: Column) -> Column:
+    """Does a normalised sentence that is not known have the weight of a licence?"""
+    return sentence.rlike(_SURELY) | (sentence.rlike(_GRANTS) & sentence.rlike(_WORKS))
+
+
 def normalised(sentence: Column) -> Column:
     """Small letters, single spaces, one spelling, no comment marks or end marks."""
     plain = F.regexp_replace(F.lower(sentence), r"^[\s/*#;%!<>|-]+|[\s/*#;:%!<>|.?-]+$", "")
@@ -198,14 +223,23 @@ def _identifier(sentence: Column) -> Column:
     return found
 
 
+def _known_or_weighty(sentence: Column) -> Column:
+    """The identifier; null for an unknown sentence without the weight of a licence."""
+    return let(_identifier(sentence), lambda i: F.when((i != "unknown") | weighty(sentence), i))
+
+
 def _identifiers_of(sentence: Column) -> Column:
     """Of a sentence, or of its lines if it is known only line by line."""
 
     def by_line(whole: Column) -> Column:
         lines = F.filter(F.split(sentence, r"\n"), lambda s: F.lower(s).rlike(_SOUNDS_LIKE))
-        named = F.transform(F.filter(F.transform(lines, normalised), lambda s: s != ""), _identifier)
+        plain = F.filter(F.transform(lines, normalised), lambda s: s != "")
+        named = F.filter(F.transform(plain, _known_or_weighty), lambda i: i.isNotNull())
         broken = (whole == "unknown") & F.contains(sentence, F.lit("\n")) & (F.size(lines) > 0)
-        return F.when(broken, named).otherwise(F.array(whole))
+        light = (whole == "unknown") & ~weighty(normalised(sentence))
+        return F.when(broken, named).when(light, none).otherwise(F.array(whole))
+
+    none = F.array().cast("array<string>")
 
     return let(normalised(sentence), lambda s: F.when(s == "", F.array().cast("array<string>")).otherwise(let(_identifier(s), by_line)))
 
@@ -245,8 +279,10 @@ def scanned(docs: DataFrame, text_column: str = "text") -> tuple[DataFrame, list
     ``sentence_ids``, the identifiers in order; ``licenses``, in rule order; ``unmatched``
     identifiers that no rule took, copyright lines left out; ``license_class``, the
     strictest of ``CLASSES``, ``unknown`` if there are only unmatched ones and null if
-    there is nothing; ``usable``, false for reserved, restricted and unknown. Null,
-    empty and plain texts have empty lists and are usable. Names that ``docs`` has get
+    there is nothing; ``usable``, false for reserved, restricted and unknown. A sentence
+    that is not known counts only if it has the weight of a licence (:func:`weighty`), not
+    for a word of daily use. Null, empty and plain texts have empty lists and are usable;
+    repeated rows are judged alike, and texts of any length as a whole. Names that ``docs`` has get
     underscores.
     """
     names = fresh(docs, "sentence_ids", "licenses", "unmatched", "license_class", "usable")
