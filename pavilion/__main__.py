@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import ast
+import inspect
 import logging
 
 from pavilion import checks, flow
@@ -11,6 +13,16 @@ from pavilion.session import open_session
 from pavilion.sinks.layout import BY_SEASON, STANDARD
 
 
+def _option(text: str) -> tuple[str, object]:
+    name, sign, value = text.partition("=")
+    if not sign or not name.isidentifier():
+        raise argparse.ArgumentTypeError(f"{text!r} is not NAME=VALUE")
+    try:
+        return name, ast.literal_eval(value)
+    except (SyntaxError, ValueError):
+        return name, value
+
+
 def _arguments() -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pavilion", description=__doc__)
     parser.add_argument("stage", choices=["land", "transform", "load", "create", "validate", "run", "report"])
@@ -20,6 +32,10 @@ def _arguments() -> argparse.Namespace:
     parser.add_argument("--processed", default="data/processed", help="processed zone")
     parser.add_argument("--database", default="cricket")
     parser.add_argument("--tables", help="folder of the database, if it has to be created")
+    parser.add_argument(
+        "--option", action="append", default=[], metavar="NAME=VALUE", type=_option,
+        help="an option of the report, such as min_balls=120, overs=(1,6) or k=20",
+    )
     parser.add_argument("--by-season", action="store_true", help="season folders instead of days")
     parser.add_argument("--multi-line", action="store_true", help="quoted values may hold line breaks")
     parser.add_argument("--strict", action="store_true", help="refuse faulty lines instead of reading what can be read")
@@ -27,6 +43,10 @@ def _arguments() -> argparse.Namespace:
     arguments = parser.parse_args()
     if arguments.stage == "report" and not arguments.name:
         parser.error("report needs a name")
+    known = list(inspect.signature(REPORTS[arguments.name].build).parameters) if arguments.name else []
+    wrong = [name for name, _ in arguments.option if name not in known]
+    if wrong:
+        parser.error(f"{arguments.name} has no option {', '.join(wrong)}")
     return arguments
 
 
@@ -56,7 +76,7 @@ def main() -> None:
         if asked.stage == "validate":
             print(checks.validate(spark, places.database))
         else:
-            report(spark, places.database, asked.name).show(truncate=False)
+            report(spark, places.database, asked.name, **dict(asked.option)).show(truncate=False)
 
 
 if __name__ == "__main__":
