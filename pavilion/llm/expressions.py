@@ -76,7 +76,7 @@ def text_statistics(text: Column) -> Column:
     ``n_symbols`` of ``#*$%&|<>``, ``n_capitals`` A-Z, ``n_digits`` 0-9, ``n_marks``
     (exclamation marks), ``n_stops`` (sentence ends), ``n_lines`` that hold a word,
     ``n_dup_lines`` equal to an earlier one, ``n_repeat_words`` in five-word windows
-    found twice, ``longest_word``.
+    found twice.
     """
     text = F.coalesce(text, F.lit(""))
 

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,7 +69,7 @@ class _Words(dict):
 
 
 class TextEncoder:
-    """Ids of texts by the tokenizers library, one call a word; words met lately are remembered.
+    """Ids of texts as the tokenizers library has them, worked out a word at a time; words met lately are remembered.
 
     ``told`` is the content of a byte-level tokenizer file. Ids are packed as
     little-endian unsigned numbers of ``kind``.
@@ -89,15 +90,31 @@ class TextEncoder:
         self.marks = [t["content"] for t in rules["added_tokens"]]
         self.kind = "<u2" if max(self.library.get_vocab(with_added_tokens=True).values()) < 1 << 16 else "<u4"
         self.letters = {byte: letter for letter, byte in byte_pairs._byte_letters().items()}
+        self.pieces = self._ranked(rules["model"]) if self.plain else None
         self.words = _Words(self)
 
+    def _ranked(self, model: dict) -> tiktoken.Encoding | None:
+        """The same vocabulary as ranks, if merges come in the order of the ids that they make.
+
+        Then merging by rank and by the list of merges are the same, and a word costs a third.
+        """
+        single = {letter: byte for byte, letter in self.letters.items()}
+        ranks = {bytes(single[c] for c in t): i for t, i in model["vocab"].items() if all(c in single for c in t)}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        made = [model["vocab"][a + b] for a, b in merges]
+        ordered = all(a < b for a, b in zip(made, made[1:], strict=False))
+        single_bytes = sum(len(t) == 1 for t in ranks)
+        if not ordered or single_bytes != 256 or len(ranks) != 256 + len(made):
+            return None
+        return tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+
     def word(self, word: str) -> bytes:
-        # Printable ASCII stands for itself in the vocabulary, but for the space.
-        if word.isascii() and word.isprintable():
-            letters = word.replace(" ", self.letters[0x20])
+        if self.pieces is not None:
+            found = self.pieces.encode_ordinary(word)
         else:
             letters = word.encode().decode("latin-1").translate(self.letters)
-        ids = array(self.kind[-1] == "2" and "H" or "I", [t.id for t in self.library.model.tokenize(letters)])
+            found = [t.id for t in self.library.model.tokenize(letters)]
+        ids = array("H" if self.kind == "<u2" else "I", found)
         if sys.byteorder == "big":
             ids.byteswap()
         return ids.tobytes()

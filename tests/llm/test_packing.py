@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import zlib
 from collections import Counter
 
@@ -108,6 +109,22 @@ def test_ids_are_those_of_the_library(encoder, library, text):
     assert np.frombuffer(encoder.text(text), encoder.kind).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_by_rank_and_by_merges(encoder, monkeypatch):
+    """Tokens, halves of tokens and any bytes that are text, run together in words."""
+    rng, ranks = random.Random(1), encoder.pieces
+    tokens = [t for t in map(encoder.library.id_to_token, range(50000)) if len(t) > 1]
+    letters = {letter: byte for byte, letter in encoder.letters.items()}
+    for _ in range(20000):
+        parts = [rng.choice(tokens)[rng.randint(0, 2) :] for _ in range(rng.randint(1, 4))]
+        raw = bytes(letters[c] for c in "".join(parts)) + bytes(rng.choice(b"etaoin hr") for _ in range(rng.randint(0, 6)))
+        word = raw.decode("utf-8", "ignore") or "a"
+        by_rank = encoder.word(word)
+        encoder.pieces = None
+        by_merges = encoder.word(word)
+        encoder.pieces = ranks
+        assert by_rank == by_merges, word
+
+
 def test_words_forgotten_are_found_again(encoder, library, monkeypatch):
     monkeypatch.setattr(packing, "_REMEMBERED_WORDS", 3)
     for _ in range(3):
