@@ -5,17 +5,19 @@ from __future__ import annotations
 import contextlib
 import glob
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from pavilion import session
+from pavilion import flow, schemas, session
 from pavilion.operators import cleansing
 from pavilion.operators.lookup import hot_keys, lookup
 from pavilion.operators.ranking import top_per_group
 from pavilion.plans import facts, reports
 from pavilion.sinks import tables
 from pavilion.sinks.layout import STANDARD, Layout
+from pavilion.sources import files
 from pavilion.testbed.queries import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -282,3 +284,20 @@ def test_results_do_not_depend_on_partitions(spark, conf, rows):
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.scratch(spark, "x").startswith(session.shared_folder(spark))
+
+
+@pytest.mark.parametrize("kind", ["matches", "deliveries"])
+def test_landing_code_is_short_enough_to_be_compiled(spark, source, tmp_path, monkeypatch, kind):
+    """The virtual machine interprets methods of 8,000 bytes and more, row by row."""
+    seen = {}
+
+    def codes(df, path, column, counts=()):
+        seen[path.rsplit("/", 1)[1]] = plan(df.observe("seen", F.count(F.lit(1)).alias("rows"), *counts), "codegen")
+        return {name: 0 for name in [*schemas.RAW_MATCHES, "rows", flow.REFUSED, *files.FAULTS, *why]}
+
+    why = [text for name, (_, kinds) in flow.RAW.items() for text in cleansing.refusals(flow.KEYS[name], kinds)]
+    monkeypatch.setattr(flow.tables, "write_routed", codes)
+    at = flow.Places(source([{}], [{}]), str(tmp_path / "raw"), str(tmp_path / "processed"), "unused")
+    flow.land(spark, at)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", seen[kind])]
+    assert sizes and max(sizes) < 8000
