@@ -301,3 +301,11 @@ def test_landing_code_is_short_enough_to_be_compiled(spark, source, tmp_path, mo
     flow.land(spark, at)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", seen[kind])]
     assert sizes and max(sizes) < 8000
+
+
+def test_hot_matches_of_raw_text_are_found_without_dropping_repeats_twice(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(Tables(spark, FOLDER).deliveries_as_text)
+    assert "approx_top_k" in text
+    dedup = [x for x in text.splitlines() if "Exchange hashpartitioning(match_id" in x and "dismissal_kind" in x and "salt" not in x]
+    assert len(dedup) == 1
