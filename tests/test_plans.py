@@ -231,6 +231,18 @@ def test_files_along_a_curve_are_small_in_both_columns(spark, tmp_path, hot, con
     assert spark.read.parquet(path).where("a = 'T1'").select(F.input_file_name()).distinct().count() >= 4
 
 
+def test_rows_for_a_curve_are_worked_out_once(spark, tmp_path, monkeypatch):
+    """The count, the sample, the bounds and the write read them from files, which then go."""
+    seen, arranged = [], tables.arranged
+    monkeypatch.setattr(tables, "arranged", lambda df, layout: seen.append(plan(df)) or arranged(df, layout))
+    df = spark.range(300).select((F.col("id") % 7).alias("a"), (F.col("id") % 50).alias("b")).dropDuplicates()
+    folder = tmp_path / "tables"
+    assert tables.write_parquet(df, f"{folder}/c", Layout(cluster=("a", "b"), curve=True)) == {"rows": 300}
+    assert "FileScan" in seen[0] and "Exchange" not in seen[0] and "Range" not in seen[0]
+    assert [f.name for f in folder.iterdir()] == ["c"]
+    assert spark.read.parquet(f"{folder}/c").exceptAll(df).isEmpty()
+
+
 @pytest.mark.parametrize("values", [[], [None], ["x"], ["x", None, "y"], [str(i) for i in range(500)]])
 def test_curves_of_any_values(spark, tmp_path, values):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "a string, b int")
