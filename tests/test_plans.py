@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from pavilion import flow, schemas, session
 from pavilion.operators import cleansing
-from pavilion.operators.lookup import hot_keys, lookup
+from pavilion.operators.lookup import distinct_lookup, hot_keys, lookup
 from pavilion.operators.ranking import top_per_group
 from pavilion.plans import facts, reports
 from pavilion.sinks import tables
@@ -321,3 +321,49 @@ def test_hot_matches_of_raw_text_are_found_without_dropping_repeats_twice(spark,
     assert "approx_top_k" in text
     dedup = [x for x in text.splitlines() if "Exchange hashpartitioning(match_id" in x and "dismissal_kind" in x and "salt" not in x]
     assert len(dedup) == 1
+
+
+def _exchanges(text: str) -> list[str]:
+    return re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", text.replace("#", " "))
+
+
+def test_repeats_and_season_of_the_fact_take_one_shuffle(spark, hot, conf, rows):
+    conf(spark__sql__shuffle__partitions="8")
+    balls = spark.range(4000).selectExpr("id % 1000 AS match_id", "id % 2000 AS ball", "id % 2000 + 1 AS other")
+    matches = spark.range(900).selectExpr("id AS match_id", "concat('S', id) AS season")
+    found = distinct_lookup(balls, matches, "match_id", ["match_id", "ball"])
+    assert [x.split()[0] for x in _exchanges(plan(found))] == ["match_id", "match_id"]  # the rows, the matches
+    expected = balls.dropDuplicates().drop("other").join(matches, "match_id", "left")
+    assert found.columns == expected.columns and sorted(rows(found), key=str) == sorted(rows(expected), key=str)
+
+
+@pytest.mark.parametrize("unknown", [False, True])
+def test_a_mass_of_equal_rows_is_dropped_before_the_shuffle(spark, hot, conf, rows, unknown):
+    """Half of all rows are one row; more of its match are not, and the match may be unknown."""
+    conf(spark__sql__shuffle__partitions="8", spark__sql__adaptive__enabled="false")
+    mass = spark.range(8000).selectExpr("-1L AS match_id", "if(id % 20 = 0, id, 0) AS ball")
+    balls = mass.unionAll(spark.range(8000).selectExpr("id % 4000 AS match_id", "id % 4000 AS ball")).repartition(8)
+    matches = spark.range(-1, 900).selectExpr("id AS match_id", "concat('S', id) AS season")
+    matches = matches.where("match_id >= 0") if unknown else matches
+    found = distinct_lookup(balls, matches, "match_id", ["match_id", "ball"])
+    expected = balls.dropDuplicates().join(matches, "match_id", "left")
+    assert sorted(rows(found), key=str) == sorted(rows(expected), key=str) and found.count() == 400 + 4000
+    sizes = found.where("match_id = -1").groupBy(F.spark_partition_id()).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 400 / 4
+
+
+def test_the_transform_moves_deliveries_by_match_once(spark, tmp_path, hot, source, monkeypatch):
+    from conftest import DELIVERY, MATCH
+
+    from pavilion.sinks.layout import BY_SEASON
+
+    at = flow.Places(
+        source([MATCH | {"id": str(i)} for i in range(200)], [DELIVERY | {"match_id": str(i % 200)} for i in range(400)]),
+        str(tmp_path / "raw"), str(tmp_path / "processed"), "flags",
+    )
+    flow.land(spark, at)
+    seen, counted = [], tables._counted
+    monkeypatch.setattr(tables, "_counted", lambda df, counts: seen.append(plan(df)) or counted(df, counts))
+    flow.transform(spark, at, BY_SEASON)
+    (text,) = [x for x in seen if "is_boundary" in x and "dismissal_kind" in x]
+    assert len(_exchanges(text)) == 3  # the layout, the deliveries and the matches by match
