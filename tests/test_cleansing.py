@@ -48,6 +48,18 @@ def test_text_is_looked_at_before_it_is_converted(spark, kind, point):
     assert 0 < casts <= shown.count("RLIKE")
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+@pytest.mark.parametrize("number", [parsed, parsed_key])
+def test_one_digit_takes_no_pattern(spark, kind, number):
+    """It is seen by its length before any pattern is tried; no other character passes for a digit."""
+    texts = [chr(i) for i in range(0x700)] + ["10", "05", " 5", "5 ", "\U0001d7d7"]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    found = {r.t: r.n for r in df.select("t", number(F.col("t"), kind).alias("n")).collect()}
+    assert found == dict.fromkeys(texts) | {str(i): i for i in range(10)} | {"10": 10, "05": 5, " 5": 5, "5 ": 5}
+    shown = df.select(number(F.col("t"), kind).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(" in shown and shown.index("length(") < shown.index("RLIKE")
+
+
 @pytest.mark.parametrize(
     ("text", "value"),
     [
